@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import chat_format, exact_dedup, url_filter
+from tessera.llm import chat_format, decontaminate, exact_dedup, near_dedup, url_filter
 
 
 def table(spark, sf_dir: str, name: str):
@@ -11,7 +11,15 @@ def table(spark, sf_dir: str, name: str):
 
 QUERIES = {
     "op2_exact_dedup": lambda spark, d: exact_dedup.exact_dedup(table(spark, d, "documents")),
+    "op3_decontaminate": lambda spark, d: decontaminate.decontaminate(table(spark, d, "documents"), table(spark, d, "benchmark")),
+    "op4_near_dedup": lambda spark, d: near_dedup.near_dedup(table(spark, d, "documents")),
     "op6_chat_format": lambda spark, d: chat_format.chat_format(table(spark, d, "conversations")),
     "op8_url_filter": lambda spark, d: url_filter.judge(table(spark, d, "pages")),
 }
-ORACLE_SQL = {"op2_exact_dedup": exact_dedup.ORACLE_SQL, "op6_chat_format": chat_format.ORACLE_SQL, "op8_url_filter": url_filter.ORACLE_SQL}
+ORACLE_SQL = {
+    "op2_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op3_decontaminate": decontaminate.ORACLE_SQL,
+    "op4_near_dedup": near_dedup.ORACLE_SQL,
+    "op6_chat_format": chat_format.ORACLE_SQL,
+    "op8_url_filter": url_filter.ORACLE_SQL,
+}
