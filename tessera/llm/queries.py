@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import chat_format, decontaminate, exact_dedup, near_dedup, url_filter
+from tessera.llm import chat_format, decontaminate, exact_dedup, near_dedup, packing, token_counts, url_filter
 
 
 def table(spark, sf_dir: str, name: str):
@@ -13,8 +13,10 @@ QUERIES = {
     "op2_exact_dedup": lambda spark, d: exact_dedup.exact_dedup(table(spark, d, "documents")),
     "op3_decontaminate": lambda spark, d: decontaminate.decontaminate(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op4_near_dedup": lambda spark, d: near_dedup.near_dedup(table(spark, d, "documents")),
+    "op5_packing": lambda spark, d: packing.pack_documents(table(spark, d, "documents")),
     "op6_chat_format": lambda spark, d: chat_format.chat_format(table(spark, d, "conversations")),
     "op8_url_filter": lambda spark, d: url_filter.judge(table(spark, d, "pages")),
+    "op10_token_counts": lambda spark, d: token_counts.document_token_counts(table(spark, d, "documents")),
 }
 ORACLE_SQL = {
     "op2_exact_dedup": exact_dedup.ORACLE_SQL,

@@ -21,8 +21,8 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 VOCABULARY = 50_257
 END = 50_256
 #: Distinct pieces that a worker remembers.
-REMEMBERED = 400_000
-CHUNK_BYTES = 1 << 20
+REMEMBERED = 1_000_000
+CHUNK_BYTES = 1 << 21
 
 
 class Encoder:
@@ -30,16 +30,31 @@ class Encoder:
         with open(ranks, "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.bpe = tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
-        self.known: dict[bytes, bytes | None] = {}
-
-    def _piece(self, piece: bytes) -> bytes | None:
-        """The ids of a space and the piece; None if the piece can't stand alone."""
-        if piece not in self.known:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            text = piece.decode()
-            self.known[piece] = None if not text or text[0].isspace() or text[0] in "\x1c\x1d\x1e\x1f" else np.array(self.bpe.encode_ordinary(" " + text), np.uint16).tobytes()
-        return self.known[piece]
+        self.widths = np.zeros(VOCABULARY, np.int64)
+        self.widths[list(table.values())] = list(map(len, table))
+        self._forget()
+
+    def _forget(self) -> None:
+        """No pieces known. hashes: sorted; sizes: -1 for a piece that can't stand alone."""
+        self.hashes, self.sizes, self.at, self.flat = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint16)
+
+    def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
+        """The ids of a space and each piece, by one call over all pieces; hashes: sorted."""
+        alone = [p[0] > 0x20 and (p[0] < 0x80 or not p.decode()[0].isspace()) or p[0] < 9 or 13 < p[0] < 0x1C for p in pieces]
+        said = b"".join(b" " + p for p, ok in zip(pieces, alone, strict=True) if ok).decode()
+        ids = np.array(self.bpe.encode_ordinary(said), np.uint16)
+        sizes = np.full(len(pieces), -1, np.int64)
+        ends = np.cumsum([len(p) + 1 for p, ok in zip(pieces, alone, strict=True) if ok])
+        sizes[alone] = np.diff(np.searchsorted(np.cumsum(self.widths[ids]), ends, "left") + 1, prepend=0)
+        at = len(self.flat) + np.cumsum(np.maximum(sizes, 0)) - np.maximum(sizes, 0)
+        self.flat = np.concatenate([self.flat, ids])
+        merged = np.concatenate([self.hashes, hashes])
+        order = np.argsort(merged, kind="stable")
+        self.hashes, self.sizes, self.at = merged[order], np.concatenate([self.sizes, sizes])[order], np.concatenate([self.at, at])[order]
+
+    def _places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(self.hashes, hashes), max(0, len(self.hashes) - 1))
+        return at, self.hashes[at] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
 
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """The ids of each text, uint16, in order."""
@@ -57,39 +72,37 @@ class Encoder:
         # The first piece of a text has no space before it; it is encoded by itself.
         heads = [t.partition(b" ") for t in texts]
         odd = [b"  " in t or t.endswith(b" ") for t in texts]
-        h, a, starts, ends = _scan(b" ".join(b"" if o else x[2] for x, o in zip(heads, odd, strict=True)))
+        rest = [b"" if o else x[2] for x, o in zip(heads, odd, strict=True)]
+        h, a, starts, ends = _scan(b" ".join(rest))
         order = np.argsort(h)
         new = np.ones(len(h), bool)
         new[1:] = h[order[1:]] != h[order[:-1]]
         which = np.empty(len(h), np.int64)
         which[order] = np.cumsum(new) - 1
         one = order[new]
-        raw = a.tobytes()
-        got = [self._piece(raw[s:e]) for s, e in zip(starts[one].tolist(), ends[one].tolist(), strict=True)]
-        sizes = np.array([len(x) // 2 if x is not None else -1 for x in got], np.int64)
-        flat = np.frombuffer(b"".join(x or b"" for x in got), np.uint16)
-        at = np.cumsum(np.maximum(sizes, 0)) - np.maximum(sizes, 0)
-        n = sizes[which]
-        bounds = np.searchsorted(starts, np.cumsum([0, *(len(b"" if o else x[2]) + 1 for x, o in zip(heads, odd, strict=True))]))
-        alone = n < 0
+        found = self._places(h[one])[1]
+        if not found.all():
+            if len(self.hashes) > REMEMBERED:
+                self._forget()
+                found[:] = False
+            raw = a.tobytes()
+            self._learn(h[one[~found]], [raw[s:e] for s, e in zip(starts[one[~found]].tolist(), ends[one[~found]].tolist(), strict=True)])
+        place = self._places(h[one])[0]
+        n, begin = self.sizes[place][which], self.at[place][which]
+        bad = np.r_[0, np.cumsum(n < 0)]
         n = np.maximum(n, 0)
         to = np.cumsum(n) - n
         total = int(n.sum())
-        ids = flat[np.arange(total) - np.repeat(to - at[which], n)] if total else np.empty(0, np.uint16)
+        ids = self.flat[np.arange(total) + np.repeat(begin - to, n)]
         to = np.r_[to, total]
-        bad = np.r_[0, np.cumsum(alone)]
+        bounds = np.searchsorted(starts, np.cumsum([0, *(len(x) + 1 for x in rest)]))
         for k, t in enumerate(texts):
             p, q = bounds[k], bounds[k + 1]
-            if odd[k] or bad[q] > bad[p]:
-                yield self._whole(t)
-            elif p == q:
+            if odd[k] or bad[q] > bad[p] or p == q:
                 yield self._whole(t)
             else:
                 yield np.concatenate([self._whole(heads[k][0]), ids[to[p] : to[q]]])
 
-    def _with_space(self, head, ids: np.ndarray) -> np.ndarray:
-        return ids  # the text starts with a space, which its first piece has
-
 
 _encoders: dict[str, Encoder] = {}
 
