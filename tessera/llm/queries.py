@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import chat_format, decontaminate, exact_dedup, near_dedup, packing, token_counts, url_filter
+from tessera.llm import chat_format, decontaminate, exact_dedup, lm_score, near_dedup, packing, token_counts, url_filter
 
 
 def table(spark, sf_dir: str, name: str):
@@ -10,6 +10,7 @@ def table(spark, sf_dir: str, name: str):
 
 
 QUERIES = {
+    "op1_lm_score": lambda spark, d: lm_score.lm_score(table(spark, d, "documents")),
     "op2_exact_dedup": lambda spark, d: exact_dedup.exact_dedup(table(spark, d, "documents")),
     "op3_decontaminate": lambda spark, d: decontaminate.decontaminate(table(spark, d, "documents"), table(spark, d, "benchmark")),
     "op4_near_dedup": lambda spark, d: near_dedup.near_dedup(table(spark, d, "documents")),
