@@ -7,13 +7,15 @@ are banded apart. With 75 permutations, 30 bands of 5, a link at similarity 0.85
 a probability of 2e-8, at 0.8 of 7e-6.
 
 Documents with equal sets are one representative. A band's bucket may hold any share of them, so it is
-never expanded into pairs nor gathered. Instead rounds compare all members with one anchor (the smallest
-id), then with up to ANCHORS more anchors from outside the bucket's largest component, until a bucket's
-members are in one component or each stray has been an anchor. A round makes at most ANCHORS rows a
-member; members already connected are not compared again, and any two members not yet connected do meet,
-so no link that joins two components is lost. Sets of similar size only are compared; a known distance of
-both to the first anchor can exclude a pair (Jaccard distance is a metric). All links are confirmed by
-the number of common 64-bit shingle hashes of the full sets.
+never expanded into pairs nor gathered. First all its members are compared with one anchor, the smallest
+id, which connects most of what belongs together. Where members are then in several components, the
+strays outside the bucket's largest one are held against all others, in blocks of about MEMBERS members
+and STRAYS strays that are compared inside a task: a pair only in its first common bucket, only if sizes
+allow a link and the distances to the anchor do (Jaccard distance is a metric), and only until the stray
+is connected to the other's component, likeliest first. A block returns the links it found, at most one
+for each stray and component. Any two members of a bucket not connected so far do meet, so no link that
+joins two components is lost. All links are confirmed by the number of common 64-bit shingle hashes of
+the full sets.
 
 Defined cases: a text of fewer words than a shingle is one shingle; without words or text the set is
 empty and links with nothing; rows that repeat a doc_id count as copies; a null doc_id is never the
@@ -23,6 +25,7 @@ smallest; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -34,7 +37,7 @@ from tessera.llm.words import WHITE_SPACE, chunks, mix
 
 SHINGLE, NUMERATOR, DENOMINATOR = 3, 85, 100
 PERMUTATIONS, ROWS = 75, 5
-ANCHORS = 8
+MEMBERS, STRAYS = 512, 128
 #: Ids of documents that share a bucket are broadcast up to this number, else joined by a shuffle.
 BROADCAST_IDS = 2_000_000
 
@@ -104,13 +107,16 @@ def _sets(shingle: int):
     return apply
 
 
+def common(p: np.ndarray, q: np.ndarray) -> int:
+    """Size of the intersection of two sorted sets."""
+    x = np.concatenate([p, q])
+    x.sort(kind="stable")
+    return int((x[1:] == x[:-1]).sum())
+
+
 def _common(batches):
     for b in batches:
-        n = []
-        for x, y in zip(b.column("hx").to_pylist(), b.column("hy").to_pylist(), strict=True):
-            p, q = sorted((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)), key=len)
-            at = np.searchsorted(q, p)
-            n.append(int((q[np.minimum(at, len(q) - 1)] == p).sum()) if len(q) else 0)
+        n = [common(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(b.column("hx").to_pylist(), b.column("hy").to_pylist(), strict=True)]
         yield pa.record_batch({"x": b.column("x"), "y": b.column("y"), "common": pa.array(n, pa.int64())})
 
 
@@ -160,24 +166,54 @@ def _links(texts, signed, reps, shingle, numerator, denominator) -> DataFrame:
     edges = materialise(met.where("linked").select(F.col("y").alias("a"), F.col("x").alias("b")), "links")
     # Distance to the bucket's first anchor, where it was measured.
     distance = met.select(F.col("x").alias("doc"), F.col("y").alias("anchor"), (1 - F.col("common") / (F.col("nx") + F.col("ny") - F.col("common"))).alias("far"))
-    open_ = members.where("doc <> anchor").join(distance, ["doc", "anchor"], "left").select("bucket", "doc", "n", "far")
+    comps = components(edges)
+    open_ = members.join(distance, ["doc", "anchor"], "left").join(comps.select(F.col("node").alias("doc"), "comp"), "doc", "left").where("doc <> anchor")
+    open_ = materialise(open_.select("bucket", "doc", "n", "far", F.coalesce("comp", "doc").alias("comp")), "bucket-components")
+    by_comp = open_.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("k"))
+    sizes = by_comp.groupBy("bucket").agg(F.max(F.struct("k", "comp")).alias("top"), F.sum("k").alias("all")).where("all > top.k")
+    several = materialise(sizes.select("bucket", F.col("top.comp").alias("largest"), F.ceil(F.col("all") / MEMBERS).alias("chunks"), F.ceil((F.col("all") - F.col("top.k")) / STRAYS).alias("groups")), "open-buckets")
+    if several.isEmpty():
+        return edges
+    open_ = open_.join(several, "bucket")
+    place = lambda seed, n: F.pmod(F.xxhash64("doc", F.lit(seed)), n)
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    kept = ["bucket", "doc", "n", "far", "comp"]
+    met = open_.select(*kept, place(0, F.col("chunks")).alias("chunk"), every(F.col("groups")).alias("group"), F.lit(False).alias("stray"))
+    met = met.unionByName(open_.where("comp <> largest").select(*kept, place(1, F.col("groups")).alias("group"), every(F.col("chunks")).alias("chunk"), F.lit(True).alias("stray")))
+    wanted = met.select("doc").distinct()
+    known = materialise(sets.join(distinct_bands.select("doc", "bands").join(wanted, "doc", "left_semi"), "doc"), "open-sets")
+    found = met.join(known, "doc").groupBy("bucket", "chunk", "group").applyInPandas(_compare(numerator, denominator), "a long, b long")
+    return edges.unionByName(found)
+
+
+def _compare(numerator: int, denominator: int):
     spread = 1 - numerator / denominator + 1e-9
-    while True:
-        comps = components(edges)
-        open_ = open_.drop("comp").join(comps.select(F.col("node").alias("doc"), "comp"), "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
-        sizes = open_.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("k")).groupBy("bucket").agg(F.max(F.struct("k", "comp")).alias("top"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
-        open_ = materialise(open_.join(sizes.select("bucket", F.col("top.comp").alias("largest")), "bucket"), "open-buckets")
-        if open_.isEmpty():
-            return edges
-        chosen = open_.where("comp <> largest").groupBy("bucket", F.pmod(F.xxhash64("doc"), F.lit(ANCHORS)).alias("slot")).agg(F.min(F.struct("doc", "n", "far", "comp")).alias("a")).select("bucket", "a")
-        a = lambda c: F.col(f"a.{c}")
-        found = open_.join(chosen, "bucket").where(F.col("comp") != a("comp")).where(alike(F.col("n"), a("n"))).where(F.coalesce(F.abs(F.col("far") - a("far")) <= spread, F.lit(True)))
-        found = found.select(F.least("doc", a("doc")).alias("y"), F.greatest("doc", a("doc")).alias("x"), F.when(F.col("doc") < a("doc"), a("n")).otherwise(F.col("n")).alias("nx"), F.when(F.col("doc") < a("doc"), F.col("n")).otherwise(a("n")).alias("ny"))
-        pairs = materialise(found.distinct(), "pairs")
-        if not pairs.isEmpty():
-            met = pairs.join(_confirmed(pairs, sets), ["x", "y"]).where(linked(F.col("common"), F.col("nx"), F.col("ny")))
-            edges = materialise(edges.unionByName(met.select(F.col("y").alias("a"), F.col("x").alias("b"))), "links")
-        open_ = open_.drop("largest").join(chosen.select("bucket", a("doc").alias("doc")), ["bucket", "doc"], "left_anti")
+
+    def apply(pdf: pd.DataFrame) -> pd.DataFrame:
+        bucket = int(pdf["bucket"].iloc[0])
+        rows = {stray: part.sort_values("doc") for stray, part in pdf.groupby("stray")}
+        out = []
+        if True in rows and False in rows:
+            ours, others = rows[True], rows[False]
+            bands = np.array(others["bands"].tolist(), np.int64)
+            n, far, comp, doc = others["n"].to_numpy(), others["far"].to_numpy(float), others["comp"].to_numpy(), others["doc"].to_numpy()
+            sets = [np.frombuffer(x, np.uint64) for x in others["hashes"]]
+            for u in ours.itertuples(index=False):
+                same = bands == np.asarray(u.bands)
+                near = np.isnan(far) | np.isnan(u.far) | (np.abs(far - u.far) <= spread)
+                first = np.asarray(u.bands)[same.argmax(axis=1)] == bucket
+                fits = near & first & (comp != u.comp) & (np.minimum(n, u.n) * denominator >= np.maximum(n, u.n) * numerator)
+                mine, joined = np.frombuffer(u.hashes, np.uint64), set()
+                at = np.flatnonzero(fits)
+                for i in at[np.argsort(-same[at].sum(axis=1), kind="stable")]:
+                    if comp[i] not in joined:
+                        c = common(mine, sets[i])
+                        if c * denominator >= (len(mine) + len(sets[i]) - c) * numerator:
+                            joined.add(comp[i])
+                            out.append((min(u.doc, doc[i]), max(u.doc, doc[i])))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return apply
 
 
 ORACLE_SQL = r"""
