@@ -146,6 +146,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, p
     return _by_slices(docs, slices, window, kind)
 
 
+def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, pattern_words: int = PATTERN_WORDS) -> DataFrame:
+    """The rows of docs, whole, in which no benchmark window occurs; one pass for each slice of the benchmark."""
+    for part in _slices(benchmark, pattern_words):
+        held = docs.sparkSession.sparkContext.broadcast(Patterns(((r[0], r[1]) for r in part.toLocalIterator()), window))
+
+        def apply(batches, held=held):
+            for b in batches:
+                yield b.filter(pa.array([hit == 0 for _, hit, _ in held.value.occurrences(texts_of(b))], pa.bool_()))
+
+        docs = docs.mapInArrow(apply, docs.schema)
+    return docs
+
+
 def _by_slices(docs: DataFrame, slices: list, window: int, kind: str) -> DataFrame:
     """One pass per slice; the hit stretches and items of each row are merged by row."""
     spark = docs.sparkSession

@@ -138,7 +138,11 @@ def _merge(new: pd.DataFrame, index: pd.DataFrame) -> pd.DataFrame:
 
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id and the SHA-256 of the text with every run of white space as one space."""
-    return docs.select("doc_id", F.unhex(F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), SPACE, " ").cast("binary"), 256)).alias("digest"))
+    return docs.select("doc_id", _digest(F.col("text")).alias("digest"))
+
+
+def _digest(text):
+    return F.unhex(F.sha2(F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " ").cast("binary"), 256))
 
 
 def _shard(n: int):
@@ -155,12 +159,8 @@ def probe(new_groups: DataFrame, index: DataFrame, shards: int) -> DataFrame:
     return new_groups.select("*", _shard(shards)).groupBy("shard").cogroup(index.groupBy("shard")).applyInPandas(_merge, GROUPS)
 
 
-def exact_dedup(docs: DataFrame, history_until: int | None = None) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256 for every row of docs.
-
-    Rows with doc_id <= history_until are the history (by default the lower half of the id range, as
-    documents arrive in id order), so a historical winner is always the smallest doc_id of its group.
-    """
+def _groups(docs: DataFrame, history_until: int | None) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, digest) and groups (digest, keep_id, group_size)."""
     rows = materialise(digests(docs), "digests")
     grouped = lambda part: part.groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     n, low, high = rows.agg(F.count(F.lit(1)), F.min("doc_id"), F.max("doc_id")).first()
@@ -169,10 +169,28 @@ def exact_dedup(docs: DataFrame, history_until: int | None = None) -> DataFrame:
     shards = n // SHARD_KEYS + 1
     old = F.coalesce(F.col("doc_id") <= history_until, F.lit(False))
     index = materialise(build_index(grouped(rows.where(old)), shards), "perfect-hash")
-    groups = probe(grouped(rows.where(~old)), index, shards)
+    return rows, probe(grouped(rows.where(~old)), index, shards)
+
+
+def exact_dedup(docs: DataFrame, history_until: int | None = None) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256 for every row of docs.
+
+    Rows with doc_id <= history_until are the history (by default the lower half of the id range, as
+    documents arrive in id order), so a historical winner is always the smallest doc_id of its group.
+    """
+    rows, groups = _groups(docs, history_until)
     return rows.join(groups, "digest").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def keep_first(docs: DataFrame, history_until: int | None = None) -> DataFrame:
+    """The rows of docs, whole, that stay: one for each text. Copies differ in doc_id, so none is a hot key of the join."""
+    _, groups = _groups(docs, history_until)
+    winners = groups.select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep"))
+    rows = docs.withColumn("__text", _digest(F.col("text")))
+    kept = rows.join(winners, (F.col("__text") == F.col("__digest")) & F.col("doc_id").eqNullSafe(F.col("__keep")), "left_semi")
+    return kept.dropDuplicates(["__text", "doc_id"]).select(*docs.columns)
+
+
 ORACLE_SQL = r"""
 WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
 g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY 1)

@@ -196,3 +196,14 @@ def identify(docs: DataFrame, model: Centroids | None = None) -> DataFrame:
             yield pa.record_batch({"doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "lang_pred": pa.array(names, pa.string()), "score": pa.array(scores, pa.float64()), "rejected": pa.array(rejected, pa.bool_())})
 
     return docs.select("doc_id", (_fold() == HELD_OUT).alias("held_out"), "text").mapInArrow(apply, f"doc_id {kind}, held_out boolean, lang_pred string, score double, rejected boolean")
+
+
+def keep_identified(docs: DataFrame, model: Centroids | None = None) -> DataFrame:
+    """The rows of docs, whole, whose text is not rejected; learns from all labelled rows of docs."""
+    held = docs.sparkSession.sparkContext.broadcast(model or train(docs, folds=False))
+
+    def apply(batches):
+        for b in batches:
+            yield b.filter(pa.array(~held.value.predict(b.column("text").to_pylist())[2], pa.bool_()))
+
+    return docs.mapInArrow(apply, docs.schema)

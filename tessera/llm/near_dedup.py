@@ -216,6 +216,12 @@ def _compare(numerator: int, denominator: int):
     return apply
 
 
+def keep_one(docs: DataFrame, shingle: int, numerator: int, denominator: int) -> DataFrame:
+    """The rows of docs, whole, without those whose class has a smaller doc_id."""
+    dropped = near_dedup(docs, shingle, numerator, denominator).where(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__dropped")).distinct()
+    return docs.join(materialise(dropped, "near-copies"), F.col("doc_id") == F.col("__dropped"), "left_anti")
+
+
 ORACLE_SQL = r"""
 WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 sh AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 2) + 1)) AS i FROM t WHERE len(w) > 0)),

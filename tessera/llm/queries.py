@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import chat_format, decontaminate, exact_dedup, language_id, lm_score, near_dedup, packing, token_counts, url_filter
+from tessera.llm import chat_format, decontaminate, exact_dedup, html_extract, language_id, lm_score, near_dedup, packing, token_counts, url_filter
 
 
 def table(spark, sf_dir: str, name: str):
@@ -18,6 +18,7 @@ QUERIES = {
     "op6_chat_format": lambda spark, d: chat_format.chat_format(table(spark, d, "conversations")),
     "op7_language_id": lambda spark, d: language_id.identify(table(spark, d, "documents")),
     "op8_url_filter": lambda spark, d: url_filter.judge(table(spark, d, "pages")),
+    "op9_html_extract": lambda spark, d: html_extract.extract_pages(table(spark, d, "pages")),
     "op10_token_counts": lambda spark, d: token_counts.document_token_counts(table(spark, d, "documents")),
 }
 ORACLE_SQL = {
