@@ -94,6 +94,7 @@ def clinical(spark: SparkSession, rows: int = 9000, seed: int = 2026) -> DataFra
     over = lambda c, at: F.greatest(F.lit(0.0), (F.col(c) if isinstance(c, str) else c) - at)
     under = lambda c, at: F.greatest(F.lit(0.0), at - F.col(c))
     c = F.col
+    # Means, spreads, bounds and weights of the table's columns.
     steps = [
         {"age": whole(gauss(52, 16), 18, 90), "sex": weighted(unit(), [("Female", 0.51), ("Male", 0.49)]), "bmi": F.bround(clip(gauss(27.8, 5.8), 17, 48), 1)},
         {"activity": whole(gauss(145, 85) - over("age", 55) * 1.2, 0, 520)},
