@@ -9,9 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.core import not_blank, strict_json
+from tessera.functions.core import not_blank, strict_json, strip
 from tessera.operators.validate import structural_errors
-from tessera.schema import CONVERSATION
+from tessera.schema import CONVERSATION, METADATA, SNIPPET
 
 
 class MalformedLine(ValueError):
@@ -31,8 +31,17 @@ def checked(df: DataFrame, line: str = "line") -> DataFrame:
 
 
 def parsed(df: DataFrame, line: str = "line") -> DataFrame:
-    """The typed record of each line; strip() of stripped fields is part of the model."""
-    return df.withColumn("record", F.from_json(line, CONVERSATION))
+    """The typed record of each line: texts stripped, absent lists empty, the number of turns filled in."""
+    r = F.col("record")
+    messages = F.transform(r["messages"], lambda m: m.withField("role", strip(m["role"])).withField("content", strip(m["content"])).withField("code_snippets", _snippets(m["code_snippets"])))
+    meta = F.coalesce(r["metadata"], F.from_json(F.lit("{}"), METADATA))
+    meta = meta.withField("source", F.coalesce(meta["source"], F.lit("synthetic"))).withField("turn_count", F.coalesce(meta["turn_count"], F.size(r["messages"]).cast("long"))).withField("tags", F.coalesce(meta["tags"], F.array().cast("array<string>")))
+    full = r.withField("messages", messages).withField("code_snippets", _snippets(r["code_snippets"])).withField("tools", F.coalesce(r["tools"], F.array().cast("array<string>"))).withField("metadata", meta)
+    return df.withColumn("record", F.from_json(line, CONVERSATION)).withColumn("record", full)
+
+
+def _snippets(c):
+    return F.transform(F.coalesce(c, F.array().cast(f"array<{SNIPPET}>")), lambda s: s.withField("language", strip(s["language"])).withField("code", strip(s["code"])))
 
 
 def tolerant(df: DataFrame, line: str = "line") -> DataFrame:
