@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
+import time
 import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Written by lower_ascii(): only A-Z are lower-cased, whatever the locale or script.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -24,14 +27,38 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """df as a Parquet table in the shared folder. This cuts lineage; lost executors don't lose it."""
+def materialise(df: DataFrame, name: str, file_rows: int = 0, batch_bytes: int | None = None) -> DataFrame:
+    """df as a Parquet table in the shared folder. This cuts lineage; lost executors don't lose it.
+
+    For long rows: file_rows in a file at most, and batch_bytes at most for a batch that goes to Python.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_BATCH_BYTES)
+    if batch_bytes:
+        spark.conf.set(_BATCH_BYTES, batch_bytes)
+    try:
+        df.write.option("maxRecordsPerFile", file_rows).parquet(path)
+    finally:
+        spark.conf.set(_BATCH_BYTES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Removes a table that materialise() wrote and that no plan still to run reads."""
+    for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of plans that have run: it does when the driver's garbage is collected."""
+    for _ in range(2):  # Python's references to the driver's objects are given up by a thread of its own
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(1)
+
+
 def lower_ascii(column):
     return F.translate(column, UPPER, LOWER)
 
