@@ -10,9 +10,9 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tessera.llm.packing import pack_documents
+from tessera.llm.packing import Shard, neighbours, pack_documents
 from tessera.llm.token_counts import document_token_counts, token_counts
-from tessera.llm.tokens import END, Encoder
+from tessera.llm.tokens import END, VOCABULARY, Encoder
 
 ODD = ["", " ", "a", " a", "a ", "a  b", "don't you're 'tis\n's it's", "a \n b", "x\n\n y", "é ü   z", "a\tb c", "  lead", "\n a b", "12 34,5 !!\n?? a<|endoftext|> b",
        "a\x1c b \x1cc", "\x00a b\x00 c", "日本 語 テキスト", "a  b  c  d", "x" * 5000, "we'll 'll ' s I'd'd ''s", "a\n\n\n b\r\n c"]
@@ -68,6 +68,34 @@ def test_neighbours_are_lexical(spark):
     assert any(len(x) == 1 for x in by.values())
 
 
+def test_neighbours_are_those_of_all_shards(spark):
+    """Two documents fill a window, and each has one other of its own words: both are packed together, wherever they are."""
+    rng, letters = np.random.default_rng(3), [chr(c) for c in (*range(65, 91), *range(97, 123))]
+    sets = [rng.choice(letters, 8, replace=False).tolist() for _ in range(150)]
+    df = spark.createDataFrame([(i, " ".join(sets[i % 150] * 8)) for i in range(300)], "doc_id long, text string").repartition(4)
+    by = defaultdict(set)
+    for r in pack_documents(df, window=130, shard_docs=32).collect():
+        by[r.doc_id].add(r.sequence_id)
+    met = sum(bool(by[i] & by[i + 150]) for i in range(150))
+    assert met >= 140, met
+
+
+def test_neighbours_against_brute_force(spark):
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, 300, rng.integers(1, 60)).astype(np.uint16) for _ in range(200)]
+    tails = spark.createDataFrame([(i, x.tobytes()) for i, x in enumerate(texts)], "key long, tail binary").repartition(5)
+    idf, unused = rng.random(VOCABULARY).astype(np.float32), rng.random(200) < 0.8
+    got = neighbours(tails, idf, 30.0, unused, [(i, texts[i], 150) for i in range(40)], shard_docs=16)
+    index = Shard(texts, idf, 30.0)
+    for i in range(40):
+        score, want, held = index.scores(texts[i]), [], 0
+        for k in sorted((k for k in range(200) if unused[k] and k != i), key=lambda k: (-score[k], k)):
+            if held < 150:
+                want.append((k, len(texts[k])))
+                held += len(texts[k])
+        assert got[i] == want
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert pack_documents(none).count() == document_token_counts(none).count() == 0
