@@ -3,10 +3,10 @@
 Letters are lower-cased, anything else is one space; runs of 1 to 3 such characters are hashed to DIMS
 features. A text's vector holds (1 + log count) * idf, normalised. Each language's training vectors are
 clustered by spherical k-means into CLUSTERS centroids, and a text takes the language of the centroid
-with the largest cosine. It is rejected if its distance (1 - cosine) exceeds REJECT_FACTOR times the
-largest among that language's own training texts of at least its length; short texts are farther from
-any centroid, so the training texts' beginnings of SNIPPETS characters calibrate those limits too. The
-prediction stays, the flag says so.
+with the largest cosine. It is rejected if its distance (1 - cosine) exceeds the quantile QUANTILE of the
+distances of that language's own training texts of its length class, each measured from centroids learned
+without it; short texts are farther from any centroid, so the training texts' beginnings of SNIPPETS characters calibrate those limits too. A limit is
+at most CEILING, below the distance of a text that shares nothing. The prediction stays, the flag says so.
 
 Training takes at most SAMPLE_PER_LANGUAGE labelled texts a language and SAMPLE_TOTAL in all, those with
 the smallest hash of the doc_id among the training folds; the bound is for fitting alone, every text is
@@ -29,9 +29,9 @@ from pyspark.sql import functions as F
 
 DIMS, CLUSTERS = 1 << 13, 4
 SAMPLE_PER_LANGUAGE, SAMPLE_TOTAL = 400, 4000
-REJECT_FACTOR = 1.25
-#: Longer texts share a limit so that at least so many training texts stand behind each.
-ENOUGH = 50
+QUANTILE, CEILING = 0.995, 0.99
+#: Neighbouring length classes share a limit so that so many training texts stand behind each: one lies above the quantile.
+ENOUGH = 200
 SNIPPETS = (4, 8, 16, 32, 64, 128, 256, 512)
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
@@ -87,30 +87,29 @@ def _length(rows: np.ndarray) -> np.ndarray:
 
 
 class Centroids:
-    def __init__(self, langs: list[str], rows: np.ndarray, snippets: dict | None = None, k: int = CLUSTERS, reject_factor: float = REJECT_FACTOR):
+    def __init__(self, langs: list[str], rows: np.ndarray, snippets: dict | None = None, k: int = CLUSTERS, quantile: float = QUANTILE):
         """rows: counts of the training texts, langs: theirs; snippets: by lang, (places, counts) of shorter texts."""
         self.names = sorted(set(langs))
         self.idf = np.log((1 + len(rows)) / (1 + (rows > 0).sum(axis=0))).astype(np.float32) + 1
         vectors = _normal(_weighted(rows) * self.idf)
         of, centres = np.array(langs), []
         self.name_of: list[int] = []
-        self.limits = np.ones((len(self.names), 64))
+        self.limits = np.full((len(self.names), 64), CEILING)
         for i, name in enumerate(self.names):
             mine = vectors[of == name]
             c = self._cluster(mine, min(k, len(mine)))
             self.name_of += [i] * len(c)
             centres.append(c)
-            far, classes = [(1 - mine @ c.T).min(axis=1)], [_length(rows[of == name])]
+            far, classes = [self._apart(mine, k)], [_length(rows[of == name])]
             for x in snippets.get(name, ()) if snippets else ():
                 x = _dense(*x)
                 far.append((1 - _normal(_weighted(x[None]) * self.idf) @ c.T).min(axis=1))
                 classes.append(_length(x[None]))
-            most = np.zeros(64)
-            np.maximum.at(most, np.concatenate(classes), np.concatenate(far))
-            most = np.maximum.accumulate(most[::-1])[::-1]  # of texts at least as long
-            enough = np.flatnonzero(np.cumsum(np.bincount(np.concatenate(classes), minlength=64)[::-1])[::-1] >= min(ENOUGH, len(mine)))[-1]
-            most[enough:], most[: int(np.concatenate(classes).min())] = most[enough], 1
-            self.limits[i] = np.minimum(1, reject_factor * most + 1e-6)
+            away, at = np.concatenate(far), np.concatenate(classes)
+            for size in range(64):
+                near = np.abs(at - size)
+                near = near <= np.sort(near)[min(ENOUGH, len(near)) - 1]
+                self.limits[i, size] = min(CEILING, np.quantile(away[near], quantile) + 1e-6)
         self.centres = np.concatenate(centres).astype(np.float32) if centres else np.zeros((0, DIMS), np.float32)
 
     @staticmethod
@@ -124,6 +123,17 @@ class Centroids:
             c = np.array([_normal(x[at == j].mean(axis=0)) if (at == j).any() else c[j] for j in range(k)])
         return c
 
+    @classmethod
+    def _apart(cls, x: np.ndarray, k: int) -> np.ndarray:
+        """Each text's distance to centroids that were learned without it, as those of new texts are."""
+        out = np.zeros(len(x))
+        for fold in range(FOLDS):
+            out_of = np.arange(len(x)) % FOLDS == fold
+            rest = x[~out_of] if len(x) > 1 else x
+            if out_of.any():
+                out[out_of] = (1 - x[out_of] @ cls._cluster(rest, min(k, len(rest))).T).min(axis=1)
+        return out
+
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         names, scores, rejected = [], np.zeros(len(texts)), np.ones(len(texts), bool)
         for at in range(0, len(texts), _ROWS):

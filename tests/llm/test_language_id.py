@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from tessera.llm.language_id import DIMS, Centroids, counts, identify, train
+from tessera.llm.language_id import DIMS, HELD_OUT, Centroids, _fold, counts, identify, train
 
 SF = "/root/testdata/sf0.01"
 
@@ -29,3 +29,16 @@ def test_defined_cases(spark):
 
 def test_long_text_is_counted_whole():
     assert counts("ab " * 700_000).sum() > 3 * 2_000_000
+
+
+def test_foreign_and_random_texts_are_rejected(spark):
+    """Of every length, with limits learned on sf0.1; hardly any held-out text or beginning of one is."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = train(docs)
+    rng, alphabets = np.random.default_rng(0), ([*map(chr, range(0x430, 0x450)), *" " * 5], [*map(chr, range(97, 123)), *" " * 4])
+    assert model.limits.max() < 1
+    for letters in alphabets:
+        for n in (20, 80, 160, 250, 400):
+            assert model.predict(["".join(rng.choice(letters, n)) for _ in range(40)])[2].sum() >= 36, (letters[0], n)
+    held = [r.text for r in docs.where(_fold() == HELD_OUT).where("lang IS NOT NULL AND text IS NOT NULL").orderBy("doc_id").limit(400).collect()]
+    assert model.predict(held)[2].sum() <= 8 and model.predict([t[:80] for t in held])[2].sum() <= 8
