@@ -46,7 +46,7 @@ def cmd_generate_llm(spark, a) -> int:
 def cmd_validate(spark, a) -> int:
     lines = jsonl.strict(jsonl.lines(spark, a.path))
     rows = jsonl.parsed(lines).withColumn("structure", validate.structural_errors("line")).select(validate.record_id("line").alias("rid"), "structure", "record.*")
-    found = validate.errors(rows, F.when(F.size("structure") > 0, F.col("structure")).otherwise(validate.all_errors()), "rid")
+    found = validate.errors(rows, F.when(F.size("structure") > 0, F.col("structure")).otherwise(validate.all_errors(generator=True)), "rid")
     n = 0
     for n, r in enumerate(found.toLocalIterator(), 1):
         print(f"{r.rid}: {r.field}: {r.message}")
