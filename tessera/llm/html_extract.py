@@ -17,6 +17,7 @@ one by one; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import html as entities
 import re
 from functools import cache
@@ -28,8 +29,9 @@ from pyspark.sql import DataFrame
 from tessera.llm.html_pages import training_pages
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg math object canvas head textarea select title".split())
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var wbr".split())
+#: Whole subtrees that are scripts, styles, markup or form controls; math, objects and the like may be part of an article.
+RAW = frozenset("script style template iframe head textarea select title".split())
+INLINE = frozenset("math mi mn mo ms mtext mrow mfrac msqrt mroot msup msub msubsup mover munder munderover semantics object canvas noscript svg g text tspan a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark nobr q s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 SAME = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "td": ("table",), "th": ("table",), "tr": ("table",), "option": ("select",), "tbody": ("table",), "thead": ("table",), "tfoot": ("table",)}
 ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr", "td", "th"), "option": ("option",), "tbody": ("tbody", "thead", "tr", "td", "th"), "thead": ("tbody", "tr"), "tfoot": ("tbody", "tr", "td", "th")}
@@ -48,9 +50,11 @@ WORDS = (
 )
 _TAG = {t: i for i, ts in enumerate(TAGS) for t in ts.split()}
 _WORD = {w: i for i, ws in enumerate(WORDS) for w in ws.split()}
-_SCAN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*?)(/?)>", re.S)
+_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*+)")
+_REST = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+")
 _ATTR = re.compile(r"(?:^|[\s\"'/])(class|id|role|itemprop|aria-label|hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[0-9])|(?<=[0-9])(?=[a-z])")
+_HEAD = re.compile(r"</head\s*>|(?=<body[\s>])", re.I)
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _PUNCTUATION = re.compile(r"[.,;:!?]")
 
@@ -83,95 +87,135 @@ def _attributes(source: str) -> tuple[int, bool]:
     return groups, hidden
 
 
+def tags(source: str):
+    """(start, end, name, rest) of each tag, name "" for comments and declarations; time is in proportion to the length.
+
+    A tag ends at the first > outside quotes. Where quotes or the tag stay open, it ends at the first >, and so do those
+    that begin before the place where that was found out; without any > the rest is text.
+    """
+    at, careless = source.find("<"), -1
+    while at >= 0:
+        if source.startswith("<!--", at):
+            end = source.find("-->", at + 4)
+            end = end + 3 if end >= 0 else len(source)
+            yield at, end, "", ""
+        elif source.startswith(("<!", "<?"), at):
+            end = source.find(">", at) + 1 or len(source)
+            yield at, end, "", ""
+        elif name := _NAME.match(source, at):
+            end = at
+            if at >= careless:
+                end = _REST.match(source, name.end()).end()
+                if not source.startswith(">", end):
+                    careless = end
+            if at < careless and (end := source.find(">", name.end())) < 0:
+                return
+            end += 1
+            yield at, end, ("/" if source[at + 1] == "/" else "") + name[1].lower(), source[name.end() : end - 1]
+        else:
+            end = at + 1
+        at = source.find("<", end)
+
+
+class Stack:
+    """The open elements. Where each tag stands is known, so that closing one needs no search."""
+
+    BARS = frozenset(("p", "td", "th", "li", "div", "article", "section"))
+
+    def __init__(self):
+        self.open, self.at, self.bars = [(0, "html", False)], {"html": [0]}, []
+
+    def push(self, node: int, tag: str, main: bool) -> None:
+        if tag in self.BARS:
+            self.bars.append(len(self.open))
+        self.at.setdefault(tag, []).append(len(self.open))
+        self.open.append((node, tag, main))
+
+    def cut(self, k: int) -> None:
+        for _, tag, _ in self.open[k:]:
+            self.at[tag].pop()
+        del self.open[k:]
+        while self.bars and self.bars[-1] >= k:
+            self.bars.pop()
+
+    def last(self, *tags: str) -> int:
+        """The place of the innermost of these, or 0."""
+        return max(at[-1] if (at := self.at.get(t)) else 0 for t in tags)
+
+    def ended_by(self, tag: str) -> int:
+        """The outermost element that the start of this one ends, or 0."""
+        outer, out = self.last(*SAME[tag]), 0
+        for t in ENDS[tag]:
+            at = self.at.get(t, ())
+            k = bisect.bisect_right(at, outer)
+            if k < len(at):
+                out = min(out or at[k], at[k])
+        return out
+
+
 def parse(source: str) -> tuple[Tree, list[tuple[int, int]]]:
     """The tree, and for each leaf how many characters of it are inside links. data-main="1" labels a subtree."""
-    tree, stack, links = Tree(), [(0, "html")], []
+    tree, stack, links = Tree(), Stack(), []
     buffer: list[str] = []
-    linked, at, end, n_links, a_open = 0, 0, len(source), 0, 0
-    label_stack: list[bool] = [False]
+    linked, at, a_open, headless = 0, 0, False, False
 
     def flush() -> None:
         nonlocal linked
         if buffer:
             text = " ".join(entities.unescape("".join(buffer)).split())
             if text:
-                links.append((tree.add(stack[-1][0], "#text", text, 0, label_stack[-1]), linked))
+                links.append((tree.add(stack.open[-1][0], "#text", text, 0, stack.open[-1][2]), linked))
             buffer.clear()
         linked = 0
 
     def close(k: int) -> None:
         flush()
-        del stack[k:], label_stack[k:]
+        stack.cut(k)
 
-    for m in _SCAN.finditer(source):
-        if m.start() < at:
-            continue
-        if m.start() > at:
-            buffer.append(source[at : m.start()])
-            linked += (m.start() - at) * (a_open > 0)
-        at = m.end()
-        if m[2] is None:
+    for start, stop, tag, rest in tags(source):
+        if start < at:
             continue
-        tag = m[2].lower()
+        if start > at:
+            buffer.append(source[at:start])
+            linked += (start - at) * a_open
+        at = stop
+        ending, tag, single = tag.startswith("/"), tag.lstrip("/"), rest.endswith("/")
         if tag in RAW:
-            if not m[1] and not m[4]:
-                if tag == "head":
-                    stop = re.compile(r"</head\s*>|(?=<body[\s>])", re.I).search(source, at)
-                else:
-                    stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
-                if stop is None and tag == "head":
-                    continue
-                at = stop.end() if stop else end
-            continue
-        if tag in INLINE:
-            if tag == "br":
-                buffer.append(" ")
-            elif tag == "a":
-                a_open = 0 if m[1] else 1
-                n_links += not m[1]
-            continue
-        if m[1]:
-            k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][1] == tag), 0)
-            if k:
+            if not ending and not single and not (tag == "head" and headless):
+                end = (_HEAD if tag == "head" else re.compile(rf"</{tag}\s*>", re.I)).search(source, at)
+                headless = tag == "head" and end is None
+                at = end.end() if end else at if headless else len(source)
+        elif tag == "br":
+            buffer.append(" ")
+        elif tag == "a":
+            a_open = not ending
+        elif not tag or tag in INLINE:
+            pass
+        elif ending:
+            if k := stack.last(tag):
                 close(k)
-                a_open = 0
+                a_open = False
             elif tag in CLOSES_P:
                 flush()
-            continue
-        if tag in ("html", "body"):
+        elif tag in ("html", "body"):
             flush()
-            if tag == "body" and len(stack) == 1:
-                groups, _ = _attributes(m[3])
-                stack.append((tree.add(0, "body", None, groups, None), "body"))
-                label_stack.append(False)
-            continue
-        if tag in CLOSES_P:
-            k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k][1] in ("p", "td", "th", "li", "div", "article", "section")), 0)
-            if k and stack[k][1] == "p":
+            if tag == "body" and len(stack.open) == 1:
+                stack.push(tree.add(0, "body", None, _attributes(rest)[0], None), "body", False)
+        else:
+            if tag in CLOSES_P:
+                if stack.bars and stack.open[stack.bars[-1]][1] == "p":
+                    close(stack.bars[-1])
+            elif tag in SAME and (k := stack.ended_by(tag)):
                 close(k)
-        elif tag in SAME:
-            k, top = len(stack) - 1, 0
-            while k > 0 and stack[k][1] not in SAME[tag]:
-                if stack[k][1] in ENDS[tag]:
-                    top = k
-                k -= 1
-            if top:
-                close(top)
-        flush()
-        a_open = 0
-        if tag in VOID:
-            continue
-        groups, hidden = _attributes(m[3])
-        if hidden and tag not in ("body",):
-            groups |= 1 << len(WORDS)
-        node = tree.add(stack[-1][0], tag, None, groups, None)
-        if not m[4]:
-            stack.append((node, tag))
-            label_stack.append(label_stack[-1] or 'data-main="1"' in m[3])
-            if 'data-main="0"' in m[3]:
-                label_stack[-1] = False
-    if at < end:
-        buffer.append(source[at:])
+            flush()
+            a_open = False
+            if tag in VOID:
+                continue
+            groups, hidden = _attributes(rest)
+            node = tree.add(stack.open[-1][0], tag, None, groups | hidden << len(WORDS), None)
+            if not single:
+                stack.push(node, tag, 'data-main="0"' not in rest and (stack.open[-1][2] or 'data-main="1"' in rest))
+    buffer.append(source[at:])
     flush()
     return tree, links
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import html
 import itertools
 import re
+import time
+from xml.etree import ElementTree
 
 import numpy as np
 
@@ -52,3 +54,57 @@ def test_repair():
 def test_defined_cases(spark):
     df = spark.createDataFrame([(1, None, None), (2, "u", ""), (3, "u", "<div>" * 5000 + "x"), (None, "u", "<html><body><nav><a href=x>y</a></nav></body></html>")], "page_id long, url string, html string")
     assert {r.text for r in extract_pages(df).collect()} == {""} and extract_pages(df.where("false")).count() == 0
+
+
+def _random_page(rng, depth: int = 0) -> str:
+    if depth == 4 or rng.random() < 0.3:
+        word = lambda: "".join(rng.choice(list("abc &é "), int(rng.integers(1, 6)))).replace("&", "&amp;")
+        return word() + str(rng.choice(["", f"<b>{word()}</b>", f"<a href='x'>{word()}<i>{word()}</i></a>", f"<math><mi>{word()}</mi></math>"])) + word()
+    tag = rng.choice(["div", "section", "table", "ul", "blockquote", "article"])
+    return f"<{tag} class='x'>" + "".join(_random_page(rng, depth + 1) for _ in range(int(rng.integers(0, 4)))) + f"</{tag}>"
+
+
+def _leaves(node, inline=("b", "a", "i", "math", "mi")) -> list[str]:
+    """The text between block boundaries, by recursion over another parser's tree."""
+    runs = [[]]
+
+    def walk(x):
+        if x.tag not in inline:
+            runs.append([])
+        runs[-1].append(x.text or "")
+        for y in x:
+            walk(y)
+            runs[-1].append(y.tail or "")
+        if x.tag not in inline:
+            runs.append([])
+
+    walk(node)
+    return [t for t in (" ".join("".join(r).split()) for r in runs) if t]
+
+
+def test_leaves_are_those_of_a_walk_over_the_document():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        page = f"<body>{_random_page(rng)}{_random_page(rng)}</body>"
+        assert [t for t in parse(page)[0].text if t] == _leaves(ElementTree.fromstring(page)), page
+
+
+def test_time_is_in_proportion_to_malformed_input():
+    began = time.time()
+    for unit in ("<a", "<a ", "<a '", "<a/", "<a \"><b '", "<head>", "<main>", "<div><li>", "</x><div>", "<p><td><x><main>", "<script", "<a class=", "<td><table>"):
+        parse(unit * (1_000_000 // len(unit)))
+    assert time.time() - began < 60
+
+
+def test_text_of_any_element_but_scripts_styles_and_forms_stays():
+    for tag in ("math", "object", "canvas", "noscript", "svg", "span", "code"):
+        assert parse(f"<p>Energy is <{tag}>E=</{tag}> mass</p>")[0].text[-1] == "Energy is E= mass"
+    for tag in ("script", "style", "template", "textarea", "select"):
+        assert parse(f"<p>Energy is <{tag}>E=</{tag}> mass</p>")[0].text[-1] == "Energy is mass"
+
+
+def test_repeated_rows_and_other_columns(spark):
+    page = next(iter(training_pages(1, 5)))
+    df = spark.createDataFrame([(1, "u", page, 7, "x"), (1, "u", page, 8, None)], "page_id long, url string, html string, n_chars int, text string")
+    one, two = extract_pages(df).collect()
+    assert one == two and one.text == extract([page], model())[0] and one.n_chars == len(one.text)
