@@ -5,12 +5,14 @@ features. A text's vector holds (1 + log count) * idf, normalised. Each language
 clustered by spherical k-means into CLUSTERS centroids, and a text takes the language of the centroid
 with the largest cosine. It is rejected if its distance (1 - cosine) exceeds the quantile QUANTILE of the
 distances of that language's own training texts of its length class, each measured from centroids learned
-without it; short texts are farther from any centroid, so the training texts' beginnings of SNIPPETS characters calibrate those limits too. A limit is
-at most CEILING, below the distance of a text that shares nothing. The prediction stays, the flag says so.
+without it; short texts are farther from any centroid, so the training texts' beginnings of SNIPPETS
+characters calibrate those limits too. A limit is at most CEILING, below the distance of a text that shares
+nothing. The prediction stays, the flag says so.
 
 Training takes at most SAMPLE_PER_LANGUAGE labelled texts a language and SAMPLE_TOTAL in all, those with
-the smallest hash of the doc_id among the training folds; the bound is for fitting alone, every text is
-predicted whole. Their features, not their texts, come to the driver.
+the smallest hash of the doc_id among the training folds; of more than SAMPLE_TOTAL languages those with the
+most texts are learned. The bound is for fitting alone, every text is predicted whole. Features of the
+sample, not its texts, come to the driver.
 
 Defined cases: null text or one without letters is `und` with score 0, and rejected; so is every text
 if nothing could be learned; a null lang is never learned; a null doc_id is hashed as the empty text;
@@ -89,7 +91,7 @@ def _length(rows: np.ndarray) -> np.ndarray:
 class Centroids:
     def __init__(self, langs: list[str], rows: np.ndarray, snippets: dict | None = None, k: int = CLUSTERS, quantile: float = QUANTILE):
         """rows: counts of the training texts, langs: theirs; snippets: by lang, (places, counts) of shorter texts."""
-        self.names = sorted(set(langs))
+        self.names, self.trained = sorted(set(langs)), len(langs)
         self.idf = np.log((1 + len(rows)) / (1 + (rows > 0).sum(axis=0))).astype(np.float32) + 1
         vectors = _normal(_weighted(rows) * self.idf)
         of, centres = np.array(langs), []
@@ -101,10 +103,11 @@ class Centroids:
             self.name_of += [i] * len(c)
             centres.append(c)
             far, classes = [self._apart(mine, k)], [_length(rows[of == name])]
-            for x in snippets.get(name, ()) if snippets else ():
-                x = _dense(*x)
-                far.append((1 - _normal(_weighted(x[None]) * self.idf) @ c.T).min(axis=1))
-                classes.append(_length(x[None]))
+            short = snippets.get(name, []) if snippets else []
+            for first in range(0, len(short), _ROWS):
+                x = np.array([_dense(*y) for y in short[first : first + _ROWS]])
+                far.append((1 - _normal(_weighted(x) * self.idf) @ c.T).min(axis=1))
+                classes.append(_length(x))
             away, at = np.concatenate(far), np.concatenate(classes)
             for size in range(64):
                 near = np.abs(at - size)
@@ -162,37 +165,38 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, total: int =
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     if folds:
         labelled = labelled.where(_fold() != HELD_OUT)
-    sizes = {r[0]: r[1] for r in labelled.groupBy("lang").count().collect()}
-    n = max(1, min(per_language, total // max(1, len(sizes))))
-    # A share of each language that holds n texts and a few more; the sample is cut to n below.
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
-    keys = {lang: int(min(1.0, (n + 6 * n**0.5 + 10) / size) * (1 << 40)) for lang, size in sizes.items()}
-    if not keys:
+    # At most `total` languages come to the driver, those with the most texts.
+    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(total).collect()
+    if not sizes:
         return Centroids([], np.zeros((0, DIMS), np.int32))
-    limit = F.create_map(*(F.lit(x) for kv in keys.items() for x in kv))[F.col("lang")]
-    sample = labelled.where(place < limit).select("lang", place.alias("place"), "text")
+    n = max(1, min(per_language, total // len(sizes)))
+    # A share of each language that holds n texts and a few more; the sample is cut to n below.
+    spread = 1 << 40
+    shares = [(lang, int(min(1.0, (n + 6 * n**0.5 + 10) / size) * spread)) for lang, size in sizes]
+    shares = docs.sparkSession.createDataFrame(shares, "lang string, share long")
+    rows = labelled.select("lang", F.pmod(F.xxhash64("doc_id"), F.lit(spread)).alias("place"), "text")
+    sample = rows.join(F.broadcast(shares), "lang").where("place < share").select("lang", "place", "text")
 
     def features(batches):
         for b in batches:
-            rows = []
-            for lang, p, t in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
-                for size in (None, *(n for n in SNIPPETS if n < len(t))):
-                    if (c := counts(t[:size])) is not None:
-                        at = np.flatnonzero(c)
-                        rows.append((lang, p, size, at.tolist(), c[at].tolist()))
-            kinds = (pa.string(), pa.int64(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int32()))
-            yield pa.record_batch([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["lang", "place", "size", "at", "n"])
-
-    whole: dict[str, list] = {}
-    parts: dict[str, list] = {}
-    for r in sample.mapInArrow(features, "lang string, place long, size int, at array<int>, n array<int>").toLocalIterator():
-        x = (np.array(r.at), np.array(r.n))
-        if r.size:
-            parts.setdefault(r.lang, []).append(x)
-        else:
-            whole.setdefault(r.lang, []).append((r.place, *x, r.lang))
-    chosen = [x for lang in sorted(whole) for x in sorted(whole[lang], key=lambda x: (x[0], x[2].tolist()))[:n]]
-    return Centroids([x[3] for x in chosen], np.array([_dense(*x[1:3]) for x in chosen], np.int32).reshape(-1, DIMS), parts)
+            for lang, place, text in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                said = [counts(text[:size]) for size in (None, *(x for x in SNIPPETS if x < len(text)))]
+                at = [np.flatnonzero(c) for c in said if c is not None]
+                if at:
+                    packed = [x.astype("<u2").tobytes() for x in at], [c[x].astype("<u4").tobytes() for c, x in zip((c for c in said if c is not None), at, strict=True)]
+                    yield pa.record_batch([pa.array([lang]), pa.array([place]), *(pa.array([x], pa.list_(pa.binary())) for x in packed)], names=["lang", "place", "at", "n"])
+
+    found: dict[str, list] = {}
+    for r in sample.mapInArrow(features, "lang string, place long, at array<binary>, n array<binary>").toArrow().to_pylist():
+        found.setdefault(r["lang"], []).append((r["place"], r["n"], r["at"]))
+    langs, whole, parts = [], [], {}
+    for lang in sorted(found):
+        for _, counted, at in sorted(found[lang])[:n]:
+            first, *rest = ((np.frombuffer(a, "<u2"), np.frombuffer(c, "<u4")) for a, c in zip(at, counted, strict=True))
+            langs.append(lang)
+            whole.append(_dense(*first))
+            parts.setdefault(lang, []).extend(rest)
+    return Centroids(langs, np.array(whole, np.int32).reshape(-1, DIMS), parts)
 
 
 def identify(docs: DataFrame, model: Centroids | None = None) -> DataFrame:

@@ -42,3 +42,17 @@ def test_foreign_and_random_texts_are_rejected(spark):
             assert model.predict(["".join(rng.choice(letters, n)) for _ in range(40)])[2].sum() >= 36, (letters[0], n)
     held = [r.text for r in docs.where(_fold() == HELD_OUT).where("lang IS NOT NULL AND text IS NOT NULL").orderBy("doc_id").limit(400).collect()]
     assert model.predict(held)[2].sum() <= 8 and model.predict([t[:80] for t in held])[2].sum() <= 8
+
+
+def test_the_bound_of_the_sample_holds_for_any_number_of_languages(spark):
+    rows = [(i, f"{chr(97 + i % 26)}{chr(97 + i % 7)} word {'xyz'[i % 3] * (i % 5 + 1)}", f"l{i % 60}", i) for i in range(600)]
+    docs = spark.createDataFrame([*rows, *rows[:120]], "doc_id long, text string, lang string, place long")
+    fitted = train(docs, total=10, folds=False)
+    assert fitted.names == [f"l{i}" for i in sorted(range(60), key=str)][:10] and fitted.trained == 10
+    assert train(docs, total=10_000, folds=False).trained == len(rows) + 120 and train(docs, per_language=2, folds=False).trained == 120
+
+
+def test_other_columns_and_ties(spark):
+    docs = spark.createDataFrame([(1, "aa bb", "x", 1, "s"), (2, "aa bb", "y", 2, "s")], "doc_id long, text string, lang string, score int, held_out string")
+    got = identify(docs, train(docs, folds=False)).collect()
+    assert [(r.lang_pred, r.rejected) for r in got] == [("x", False)] * 2 and all(0.99 < r.score <= 1 for r in got)
