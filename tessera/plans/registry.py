@@ -400,7 +400,7 @@ def jsonl_skipped(spark, d):
     return jsonl.skipped(_lines(spark, d))
 
 
-_PREFIX = f"conv_id < coalesce((SELECT min(conv_id) FROM conv WHERE {_BAD}), 1 << 60)"
+_PREFIX = f"conv_id < coalesce((SELECT min(conv_id) FROM conv WHERE {_BAD}), 9223372036854775807)"
 
 
 @query(_sql(f" SELECT conv_id AS ord FROM conv WHERE NOT ({_BLANK}) AND {_PREFIX}"))
