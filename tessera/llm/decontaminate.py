@@ -27,11 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise, texts_of
+from tessera.llm.common import materialise, text_key, texts_of, tidy, without
 from tessera.llm.words import ALPHANUMERIC, chunks, mix
 
 WINDOW = 10
 PATTERN_WORDS = 2_000_000
+#: Bytes of texts that a worker of a filtering stage is sent at once.
+BATCH_BYTES = 8 << 20
 _BITS, _STRETCH = 18, 128
 _FACTOR = np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -142,21 +144,28 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, p
                 n, hit, items = zip(*held.value.occurrences(texts_of(b)), strict=True) if b.num_rows else ((), (), ())
                 yield pa.record_batch({"doc_id": b.column("doc_id"), "n_words": pa.array(n, pa.int64()), "n_hit": pa.array(hit, pa.int64()), "n_items": pa.array([len(x) for x in items], pa.int64()), "items_sha256": pa.array([_digest(x) for x in items], pa.string()), "contaminated": pa.array([x > 0 for x in hit], pa.bool_())})
 
-        return docs.select("doc_id", "text").mapInArrow(apply, f"doc_id {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+        return docs.select("doc_id", "text").mapInArrow(tidy(apply), f"doc_id {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
     return _by_slices(docs, slices, window, kind)
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, pattern_words: int = PATTERN_WORDS) -> DataFrame:
-    """The rows of docs, whole, in which no benchmark window occurs; one pass for each slice of the benchmark."""
+    """The rows of docs, whole, in which no benchmark window occurs; one pass over the texts for each slice of the benchmark.
+
+    Null text has no words and stays; an empty benchmark leaves every row; rows with equal texts share their fate; an
+    empty table gives no rows; any other columns are carried along, whatever their names.
+    """
+    key, hit = list(text_key()), None
+    asked = docs.select("text", *(e.alias(k) for k, e in text_key().items()))
     for part in _slices(benchmark, pattern_words):
         held = docs.sparkSession.sparkContext.broadcast(Patterns(((r[0], r[1]) for r in part.toLocalIterator()), window))
 
         def apply(batches, held=held):
             for b in batches:
-                yield b.filter(pa.array([hit == 0 for _, hit, _ in held.value.occurrences(texts_of(b))], pa.bool_()))
+                yield b.filter(pa.array([n > 0 for _, n, _ in held.value.occurrences(texts_of(b))], pa.bool_())).select(key)
 
-        docs = docs.mapInArrow(apply, docs.schema)
-    return docs
+        found = asked.mapInArrow(tidy(apply), "h1 long, h2 long, none boolean")
+        hit = found if hit is None else hit.union(found)
+    return without(docs, materialise(hit.distinct(), "contaminated", batch_bytes=BATCH_BYTES), text_key())
 
 
 def _by_slices(docs: DataFrame, slices: list, window: int, kind: str) -> DataFrame:

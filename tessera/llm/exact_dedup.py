@@ -7,8 +7,8 @@ copies. A new digest is looked up in its shard's slot and counts as a member onl
 equal those in the slot; members are repeats of the stored winner, nonmembers group among themselves.
 
 Work is on distinct digests (aggregated map-side), so a text that makes up a third of all rows is one
-key. The only join on rows is digest -> group, whose right side is unique per key; Spark may split
-the left side of a hot key.
+key. The only join on rows is digest -> group, whose right side is unique per key; the groups of hot
+digests are broadcast (see common.join_hot).
 
 Defined cases: null text is the empty text; rows that repeat a doc_id are counted one by one and share
 their decision; a null doc_id never wins against a number; an empty table gives no rows; other columns
@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise
+from tessera.llm.common import join_hot, materialise, text_key, unused_names, without
 
 SPACE = r"[\x20\x09-\x0D]+"
 #: Digests of one shard: its index and what is probed against it fit in a task many times over.
@@ -159,9 +159,9 @@ def probe(new_groups: DataFrame, index: DataFrame, shards: int) -> DataFrame:
     return new_groups.select("*", _shard(shards)).groupBy("shard").cogroup(index.groupBy("shard")).applyInPandas(_merge, GROUPS)
 
 
-def _groups(docs: DataFrame, history_until: int | None) -> tuple[DataFrame, DataFrame]:
-    """Rows (doc_id, digest) and groups (digest, keep_id, group_size)."""
-    rows = materialise(digests(docs), "digests")
+def _groups(rows: DataFrame, history_until: int | None) -> tuple[DataFrame, DataFrame]:
+    """rows (doc_id, digest) as a table, and groups (digest, keep_id, group_size)."""
+    rows = materialise(rows, "digests")
     grouped = lambda part: part.groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     n, low, high = rows.agg(F.count(F.lit(1)), F.min("doc_id"), F.max("doc_id")).first()
     if history_until is None:
@@ -172,23 +172,44 @@ def _groups(docs: DataFrame, history_until: int | None) -> tuple[DataFrame, Data
     return rows, probe(grouped(rows.where(~old)), index, shards)
 
 
+def _met(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    groups = materialise(groups, "digest-groups")
+    return join_hot(rows, groups, "digest", counts=groups.select("digest", F.col("group_size").alias("count")))
+
+
 def exact_dedup(docs: DataFrame, history_until: int | None = None) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for every row of docs.
 
     Rows with doc_id <= history_until are the history (by default the lower half of the id range, as
     documents arrive in id order), so a historical winner is always the smallest doc_id of its group.
     """
-    rows, groups = _groups(docs, history_until)
-    return rows.join(groups, "digest").select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
+    rows, groups = _groups(digests(docs), history_until)
+    return _met(rows, groups).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
 
 
 def keep_first(docs: DataFrame, history_until: int | None = None) -> DataFrame:
-    """The rows of docs, whole, that stay: one for each text. Copies differ in doc_id, so none is a hot key of the join."""
-    _, groups = _groups(docs, history_until)
-    winners = groups.select(F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep"))
-    rows = docs.withColumn("__text", _digest(F.col("text")))
-    kept = rows.join(winners, (F.col("__text") == F.col("__digest")) & F.col("doc_id").eqNullSafe(F.col("__keep")), "left_semi")
-    return kept.dropDuplicates(["__text", "doc_id"]).select(*docs.columns)
+    """The rows of docs, whole, that stay: one for each text.
+
+    What goes is decided on digests; docs itself is read once, against the keys of the rows that go. Of rows that
+    repeat both doc_id and text one stays, any of them; of a text whose doc_ids are all null one row stays; null text
+    is the empty text; an empty table gives no rows; any other columns are carried along, whatever their names.
+    """
+    keyed = docs.select("doc_id", *(e.alias(k) for k, e in text_key().items()), _digest(F.col("text")).alias("digest"))
+    rows, groups = _groups(keyed, history_until)
+    met = materialise(_met(rows, groups).select("doc_id", *text_key(), "digest", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept")), "digest-rows")
+    on = {"doc_id": F.col("doc_id"), **text_key()}
+    losers = met.where("NOT kept").select(*on).distinct()
+    # Texts whose winner's doc_id has several rows: all rows go but one, which is picked by a shuffle of these alone.
+    again = materialise(met.where("kept").groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest"), "repeated")
+    if again.isEmpty():
+        return without(docs, materialise(losers, "copies"), on)
+    repeated = materialise(met.where("kept").join(again, "digest", "left_semi").select(*on).distinct(), "repeated-rows")
+    out = without(docs, materialise(losers.union(repeated).distinct(), "copies"), on)
+    n, *names = unused_names(docs.columns, 1 + len(on))
+    wanted = repeated.select(*(F.col(k).alias(x) for k, x in zip(on, names, strict=True)))
+    equal = [e.eqNullSafe(F.col(x)) for (_, e), x in zip(on.items(), names, strict=True)]
+    some = docs.join(wanted, equal, "left_semi").withColumn(n, _digest(F.col("text")))
+    return out.unionByName(some.dropDuplicates([n]).drop(n))
 
 
 ORACLE_SQL = r"""

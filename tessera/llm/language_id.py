@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import materialise, text_key, tidy, without
+
 DIMS, CLUSTERS = 1 << 13, 4
 SAMPLE_PER_LANGUAGE, SAMPLE_TOTAL = 400, 4000
 QUANTILE, CEILING = 0.995, 0.99
@@ -38,6 +40,8 @@ SNIPPETS = (4, 8, 16, 32, 64, 128, 256, 512)
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
 _PIECE, _ROWS = 1 << 20, 128
+#: Bytes of texts that a worker of a filtering stage is sent at once.
+BATCH_BYTES = 8 << 20
 
 
 @cache
@@ -209,15 +213,21 @@ def identify(docs: DataFrame, model: Centroids | None = None) -> DataFrame:
             names, scores, rejected = held.value.predict(b.column("text").to_pylist())
             yield pa.record_batch({"doc_id": b.column("doc_id"), "held_out": b.column("held_out"), "lang_pred": pa.array(names, pa.string()), "score": pa.array(scores, pa.float64()), "rejected": pa.array(rejected, pa.bool_())})
 
-    return docs.select("doc_id", (_fold() == HELD_OUT).alias("held_out"), "text").mapInArrow(apply, f"doc_id {kind}, held_out boolean, lang_pred string, score double, rejected boolean")
+    return docs.select("doc_id", (_fold() == HELD_OUT).alias("held_out"), "text").mapInArrow(tidy(apply), f"doc_id {kind}, held_out boolean, lang_pred string, score double, rejected boolean")
 
 
 def keep_identified(docs: DataFrame, model: Centroids | None = None) -> DataFrame:
-    """The rows of docs, whole, whose text is not rejected; learns from all labelled rows of docs."""
-    held = docs.sparkSession.sparkContext.broadcast(model or train(docs, folds=False))
+    """The rows of docs, whole, whose text is not rejected; learns from all labelled rows of docs.
+
+    Null text, text without letters and, if nothing could be learned, any text is rejected; rows with equal texts share
+    their fate; an empty table gives no rows; any other columns are carried along, whatever their names.
+    """
+    held, key = docs.sparkSession.sparkContext.broadcast(model or train(docs, folds=False)), list(text_key())
 
     def apply(batches):
         for b in batches:
-            yield b.filter(pa.array(~held.value.predict(b.column("text").to_pylist())[2], pa.bool_()))
+            yield b.filter(pa.array(held.value.predict(b.column("text").to_pylist())[2], pa.bool_())).select(key)
 
-    return docs.mapInArrow(apply, docs.schema)
+    asked = docs.select("text", *(e.alias(k) for k, e in text_key().items()))
+    rejected = asked.mapInArrow(tidy(apply), "h1 long, h2 long, none boolean").distinct()
+    return without(docs, materialise(rejected, "rejected", batch_bytes=BATCH_BYTES), text_key())

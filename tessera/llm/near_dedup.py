@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise, texts_of
+from tessera.llm.common import join_hot, join_salted, materialise, texts_of, tidy, without
 from tessera.llm.components import components
 from tessera.llm.words import WHITE_SPACE, chunks, mix
 
@@ -123,7 +123,7 @@ def _common(batches):
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """pairs (x, y, nx, ny) with the size of their intersection."""
     hx, hy = (sets.select(F.col("doc").alias(c), F.col("hashes").alias(f"h{c}")) for c in ("x", "y"))
-    met = pairs.select("x", "y").join(hx, "x").join(hy, "y").mapInArrow(_common, "x long, y long, common long")
+    met = join_salted(pairs.select("x", "y"), hy, "y", "x").join(hx, "x").mapInArrow(tidy(_common), "x long, y long, common long")
     return materialise(met, "common")
 
 
@@ -131,15 +131,16 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE, numerator: int = NUMERAT
     """doc_id, n_shingles, component_id, kept for every row of docs."""
     kind = dict(docs.dtypes)["doc_id"]
     texts = docs.select("doc_id", "text")
-    signed = materialise(texts.mapInArrow(_signed(shingle), f"doc_id {kind}, n_shingles long, digest binary, bands array<long>"), "signatures")
-    same = signed.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").cast("long").alias("doc"), F.first("n_shingles").alias("n"))
+    signed = materialise(texts.mapInArrow(tidy(_signed(shingle)), f"doc_id {kind}, n_shingles long, digest binary, bands array<long>"), "signatures")
+    same = signed.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").cast("long").alias("doc"), F.first("n_shingles").alias("n"), F.count(F.lit(1)).alias("count"))
     # Equal sets have equal bands: the representative's own row has them.
-    reps = materialise(same.where("doc IS NOT NULL"), "representatives")
+    same = materialise(same, "sets")
+    reps = same.where("doc IS NOT NULL")
     links = _links(texts, signed, reps, shingle, numerator, denominator)
     comps = components(links)
     of_set = same.join(comps, same["doc"] == comps["node"], "left").select("digest", F.coalesce("comp", "doc").alias("comp"))
     rows = signed.select("doc_id", "n_shingles", "digest")
-    out = rows.where("digest IS NOT NULL").join(of_set, "digest").select("doc_id", "n_shingles", F.col("comp").cast(kind).alias("component_id"))
+    out = join_hot(rows.where("digest IS NOT NULL"), of_set, "digest", counts=same).select("doc_id", "n_shingles", F.col("comp").cast(kind).alias("component_id"))
     out = out.unionByName(rows.where("digest IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
@@ -147,14 +148,14 @@ def near_dedup(docs: DataFrame, shingle: int = SHINGLE, numerator: int = NUMERAT
 def _links(texts, signed, reps, shingle, numerator, denominator) -> DataFrame:
     """Confirmed edges (a, b) that connect all representatives with linked sets."""
     distinct_bands = signed.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc"), "bands").join(reps.select("doc", "n"), "doc").dropDuplicates(["doc"])
-    members = distinct_bands.select("doc", "n", F.explode("bands").alias("bucket"))
-    anchors = members.groupBy("bucket").agg(F.min(F.struct("doc", "n")).alias("a"), F.count(F.lit(1)).alias("size")).where("size > 1").select("bucket", "a")
+    members = materialise(distinct_bands, "distinct-bands").select("doc", "n", F.explode("bands").alias("bucket"))
+    anchors = materialise(members.groupBy("bucket").agg(F.min(F.struct("doc", "n")).alias("a"), F.count(F.lit(1)).alias("count")).where("count > 1"), "anchors")
     # Members of shared buckets; far: the distance to the first anchor, once known.
-    members = materialise(members.join(anchors, "bucket").select("bucket", "doc", "n", F.col("a.doc").alias("anchor"), F.col("a.n").alias("an")), "bucket-members")
+    members = materialise(join_hot(members, anchors.drop("count"), "bucket", counts=anchors).select("bucket", "doc", "n", F.col("a.doc").alias("anchor"), F.col("a.n").alias("an")), "bucket-members")
     ids = materialise(members.select("doc").distinct(), "candidate-docs")
     few = ids.count() <= BROADCAST_IDS
     wanted = texts.where("doc_id IS NOT NULL").join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("doc"), "left_semi")
-    sets = wanted.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sets(shingle), "doc long, hashes binary")
+    sets = wanted.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(_sets(shingle)), "doc long, hashes binary")
     sets = materialise(sets, "sets")
 
     alike = lambda p, q: F.least(p, q) * denominator >= F.greatest(p, q) * numerator
@@ -174,7 +175,7 @@ def _links(texts, signed, reps, shingle, numerator, denominator) -> DataFrame:
     several = materialise(sizes.select("bucket", F.col("top.comp").alias("largest"), F.ceil(F.col("all") / MEMBERS).alias("chunks"), F.ceil((F.col("all") - F.col("top.k")) / STRAYS).alias("groups")), "open-buckets")
     if several.isEmpty():
         return edges
-    open_ = open_.join(several, "bucket")
+    open_ = join_hot(open_, several, "bucket")
     place = lambda seed, n: F.pmod(F.xxhash64("doc", F.lit(seed)), n)
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
     kept = ["bucket", "doc", "n", "far", "comp"]
@@ -217,9 +218,13 @@ def _compare(numerator: int, denominator: int):
 
 
 def keep_one(docs: DataFrame, shingle: int, numerator: int, denominator: int) -> DataFrame:
-    """The rows of docs, whole, without those whose class has a smaller doc_id."""
-    dropped = near_dedup(docs, shingle, numerator, denominator).where(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__dropped")).distinct()
-    return docs.join(materialise(dropped, "near-copies"), F.col("doc_id") == F.col("__dropped"), "left_anti")
+    """The rows of docs, whole, without those whose class has a smaller doc_id.
+
+    Rows that share a doc_id go or stay together; a null doc_id stays; documents with null text, without words or in
+    no class stay; an empty table gives no rows; any other columns are carried along, whatever their names.
+    """
+    dropped = near_dedup(docs, shingle, numerator, denominator).where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    return without(docs, materialise(dropped, "near-copies"), {"doc_id": F.col("doc_id")})
 
 
 ORACLE_SQL = r"""
