@@ -116,6 +116,13 @@ def text_key() -> dict[str, Column]:
     return {"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit(1), F.col("text")), "none": F.col("text").isNull()}
 
 
+def give_back() -> None:
+    """Frees this process' unused memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    ctypes.CDLL(None).malloc_trim(0)
+
+
 def tidy(apply):
     """A map over batches that gives memory back to the system when its task ends, so that idle workers are small."""
 
@@ -124,9 +131,7 @@ def tidy(apply):
         try:
             yield from apply(batches)
         finally:
-            gc.collect()
-            pa.default_memory_pool().release_unused()
-            ctypes.CDLL(None).malloc_trim(0)
+            give_back()
 
     return tidied
 

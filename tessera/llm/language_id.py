@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialise, text_key, tidy, without
+from tessera.llm.common import give_back, materialise, text_key, tidy, without
 
 DIMS, CLUSTERS = 1 << 13, 4
 SAMPLE_PER_LANGUAGE, SAMPLE_TOTAL = 400, 4000
@@ -93,11 +93,14 @@ def _length(rows: np.ndarray) -> np.ndarray:
 
 
 class Centroids:
-    def __init__(self, langs: list[str], rows: np.ndarray, snippets: dict | None = None, k: int = CLUSTERS, quantile: float = QUANTILE):
-        """rows: counts of the training texts, langs: theirs; snippets: by lang, (places, counts) of shorter texts."""
+    def __init__(self, langs: list[str], rows: list, snippets: dict | None = None, k: int = CLUSTERS, quantile: float = QUANTILE):
+        """rows: (places, counts) of the training texts, langs: theirs; snippets: by lang, those of shorter texts."""
         self.names, self.trained = sorted(set(langs)), len(langs)
-        self.idf = np.log((1 + len(rows)) / (1 + (rows > 0).sum(axis=0))).astype(np.float32) + 1
-        vectors = _normal(_weighted(rows) * self.idf)
+        seen = np.bincount(np.concatenate([at for at, _ in rows]), minlength=DIMS) if rows else np.zeros(DIMS)
+        self.idf = np.log((1 + len(rows)) / (1 + seen)).astype(np.float32) + 1
+        vectors, lengths = np.zeros((len(rows), DIMS), np.float32), np.zeros(len(rows), np.int64)
+        for i in range(0, len(rows), _ROWS):
+            vectors[i : i + _ROWS], lengths[i : i + _ROWS] = self._vectors(rows[i : i + _ROWS])
         of, centres = np.array(langs), []
         self.name_of: list[int] = []
         self.limits = np.full((len(self.names), 64), CEILING)
@@ -106,12 +109,12 @@ class Centroids:
             c = self._cluster(mine, min(k, len(mine)))
             self.name_of += [i] * len(c)
             centres.append(c)
-            far, classes = [self._apart(mine, k)], [_length(rows[of == name])]
+            far, classes = [self._apart(mine, k)], [lengths[of == name]]
             short = snippets.get(name, []) if snippets else []
             for first in range(0, len(short), _ROWS):
-                x = np.array([_dense(*y) for y in short[first : first + _ROWS]])
-                far.append((1 - _normal(_weighted(x) * self.idf) @ c.T).min(axis=1))
-                classes.append(_length(x))
+                x, sizes = self._vectors(short[first : first + _ROWS])
+                far.append((1 - x @ c.T).min(axis=1))
+                classes.append(sizes)
             away, at = np.concatenate(far), np.concatenate(classes)
             for size in range(64):
                 near = np.abs(at - size)
@@ -119,6 +122,11 @@ class Centroids:
                 self.limits[i, size] = min(CEILING, np.quantile(away[near], quantile) + 1e-6)
         self.centres = np.concatenate(centres).astype(np.float32) if centres else np.zeros((0, DIMS), np.float32)
 
+    def _vectors(self, rows: list) -> tuple[np.ndarray, np.ndarray]:
+        """Vectors and length classes."""
+        x = np.array([_dense(*r) for r in rows])
+        return _normal(_weighted(x) * self.idf), _length(x)
+
     @staticmethod
     def _cluster(x: np.ndarray, k: int) -> np.ndarray:
         c = [_normal(x.mean(axis=0))]
@@ -172,7 +180,7 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, total: int =
     # At most `total` languages come to the driver, those with the most texts.
     sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(total).collect()
     if not sizes:
-        return Centroids([], np.zeros((0, DIMS), np.int32))
+        return Centroids([], [])
     n = max(1, min(per_language, total // len(sizes)))
     # A share of each language that holds n texts and a few more; the sample is cut to n below.
     spread = 1 << 40
@@ -198,9 +206,12 @@ def train(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE, total: int =
         for _, counted, at in sorted(found[lang])[:n]:
             first, *rest = ((np.frombuffer(a, "<u2"), np.frombuffer(c, "<u4")) for a, c in zip(at, counted, strict=True))
             langs.append(lang)
-            whole.append(_dense(*first))
+            whole.append(first)
             parts.setdefault(lang, []).extend(rest)
-    return Centroids(langs, np.array(whole, np.int32).reshape(-1, DIMS), parts)
+    found.clear()
+    out = Centroids(langs, whole, parts)
+    give_back()
+    return out
 
 
 def identify(docs: DataFrame, model: Centroids | None = None) -> DataFrame:

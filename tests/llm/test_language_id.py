@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from tessera.llm.language_id import DIMS, HELD_OUT, Centroids, _fold, counts, identify, train
+from tessera.llm.language_id import HELD_OUT, Centroids, _fold, counts, identify, train
 
 SF = "/root/testdata/sf0.01"
 
@@ -24,7 +24,7 @@ def test_defined_cases(spark):
     got = sorted((r.doc_id or 0, r.lang_pred, r.rejected) for r in rows)
     assert got == [(0, "en", got[0][2]), (1, "en", False), (1, "en", False), (2, "de", False), (3, "und", True), (4, "und", True), (5, "und", True)]
     assert identify(docs.where("false")).count() == 0
-    assert {r.lang_pred for r in identify(docs, Centroids([], np.zeros((0, DIMS), np.int32))).collect()} == {"und"}
+    assert {r.lang_pred for r in identify(docs, Centroids([], [])).collect()} == {"und"}
 
 
 def test_long_text_is_counted_whole():
