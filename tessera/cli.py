@@ -13,8 +13,9 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import attempts, dedup, generate, model, quality, report, split, validate
+from tessera.operators import attempts, dedup, generate, model, quality, report, run, split, validate
 from tessera.sources import jsonl
+from tessera.sources.tables import materialise
 
 
 def _client(name: str):
@@ -35,17 +36,32 @@ def cmd_generate(spark, a) -> int:
 
 
 def cmd_generate_llm(spark, a) -> int:
-    template = jsonl.text_resource(a.prompts, a.template)
+    """Makes what is missing of count samples. Waves are appended as they end, so an ended run goes on where it was."""
+    text = lambda name: jsonl.text_resource(a.prompts, name) if name else ""
+    client = lambda name: _client(name) if name else None
+    options = {"seed": a.seed, "model": a.model, "system": model.SYSTEM, "temperature": a.temperature}
+    made = run.Run(_client(a.client), text(a.template), client(a.encoder), client(a.judge), text(a.judge and a.judge_template), a.similarity, quality.QualityConfig(a.threshold), max_attempts=a.attempts, options=options)
     wanted = generate.scenarios(generate.coverage_matrix(spark, a.count, a.seed), a.seed)
-    good, bad = attempts.waves(wanted, lambda specs, n: model.generate(specs, _client(a.client), template), a.attempts)
-    good.select(F.col("json").alias("value")).write.mode("append").text(a.out)
-    bad.select("sample_index", "attempt", "reason", "detail", F.col("reply").alias("raw_data")).write.mode("append").json(a.failures)
+    existing = None
+    if jsonl.exists(spark, a.out):
+        existing = materialise(run.produced(jsonl.lines(spark, a.out)), "existing")
+        wanted = attempts.missing(wanted, existing)
+    if wanted.isEmpty():
+        return 0
+
+    def ended(good: DataFrame, bad: DataFrame) -> None:
+        good.select(F.col("json").alias("value")).write.mode("append").text(a.out)
+        run.failures(bad).write.mode("append").json(a.failures)
+
+    good, bad = made(wanted, existing, ended)
+    tried = good.unionByName(bad)
+    print(attempts.summary(attempts.run_metrics(tried).first().asDict(), [tuple(r) for r in attempts.reasons(tried).collect()]))
     return 0
 
 
 def cmd_validate(spark, a) -> int:
     lines = jsonl.strict(jsonl.lines(spark, a.path))
-    rows = jsonl.parsed(lines).withColumn("structure", validate.structural_errors("line")).select(validate.record_id("line").alias("rid"), "structure", "record.*")
+    rows = validate.with_structure(jsonl.parsed(lines)).select(validate.record_id("line").alias("rid"), "structure", "record.*")
     found = validate.errors(rows, F.when(F.size("structure") > 0, F.col("structure")).otherwise(validate.all_errors(generator=True)), "rid")
     n = 0
     for n, r in enumerate(found.toLocalIterator(), 1):
@@ -95,10 +111,10 @@ def parser() -> argparse.ArgumentParser:
         c = sub.add_parser(name)
         c.set_defaults(run=f)
         for key, default in options.items():
-            c.add_argument(f"--{key}", required=default is None, default=default, type=type(default) if default is not None else str)
+            c.add_argument(f"--{key.replace('_', '-')}", required=default is None, default=default, type=type(default) if default is not None else str)
 
     command("generate", cmd_generate, out=None, count=84, seed=42)
-    command("generate-llm", cmd_generate_llm, out=None, failures=None, client=None, prompts=None, template="generate.txt", count=84, seed=42, attempts=5)
+    command("generate-llm", cmd_generate_llm, out=None, failures=None, client=None, prompts=None, template="generate.txt", judge="", judge_template="judge.txt", encoder="", model="", count=84, seed=42, attempts=5, similarity=0.92, threshold=0.7, temperature=0.7)
     command("validate", cmd_validate, path=None)
     command("evaluate", cmd_evaluate, path=None, out=None, client=None, prompts=None, template="judge.txt", threshold=0.7)
     command("split", cmd_split, path=None, out=None, statistics=None, train=0.8, validation=0.1, test=0.1, seed=42)

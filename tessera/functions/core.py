@@ -49,11 +49,3 @@ def choice(values, n) -> Column:
 
 def one_of(c, values) -> Column:
     return col(c).isin(*values) if values else F.lit(False)
-
-
-def cosine(a, b) -> Column:
-    """0 if a norm is 0; vectors of different lengths fail."""
-    a, b = (F.transform(col(x), lambda v: v.cast("double")) for x in (a, b))
-    dot = lambda p, q: F.aggregate(F.zip_with(p, q, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    norm = F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))
-    return F.when(F.size(a) != F.size(b), F.raise_error(F.lit("vectors differ in length"))).when(norm == 0, 0.0).otherwise(dot(a, b) / norm)

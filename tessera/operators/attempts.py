@@ -40,15 +40,23 @@ def token_usage(requests: DataFrame) -> DataFrame:
     return requests.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("prompt_tokens", "completion_tokens", "total_tokens")), F.count(F.lit(1)).alias("requests"))
 
 
+def summary(metrics: dict, failed: list[tuple[str, int]]) -> str:
+    """Run metrics and the reasons of failures, as text."""
+    names = {"requested": "requested", "generated": "generated", "skipped": "skipped", "retries": "retries", "rejected_attempts": "rejected attempts", "api_errors": "API errors", "average_seconds": "seconds a sample"}
+    lines = [f"{label:>18}: {metrics[key]}" for key, label in names.items()]
+    return "\n".join(["Generation run", *lines, *(f"{reason:>18}: {n}" for reason, n in failed)])
+
+
 class FatalApiError(RuntimeError):
     """An error that no retry will mend."""
 
 
-def waves(wanted: DataFrame, attempt: Callable[[DataFrame, int], DataFrame], max_attempts: int = 5, key: str = "sample_index") -> tuple[DataFrame, DataFrame]:
+def waves(wanted: DataFrame, attempt: Callable[[DataFrame, int], DataFrame], max_attempts: int = 5, key: str = "sample_index", each: Callable[[DataFrame, DataFrame], None] = lambda good, bad: None) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected attempts). Each wave makes one attempt at every sample without success.
 
     attempt(specs, number) returns the specs' rows with reason (null: accepted) and detail. A wave is
-    written before it is read twice, so that nothing is generated again.
+    written before it is read twice, so that nothing is generated again; each(accepted, rejected) is
+    called when a wave ends, unless an error that no retry mends stops the run.
     """
     accepted = rejected = None
     open_ = wanted
@@ -59,6 +67,7 @@ def waves(wanted: DataFrame, attempt: Callable[[DataFrame, int], DataFrame], max
         if stop:
             raise FatalApiError(stop[0][0])
         accepted, rejected = (good, bad) if accepted is None else (accepted.unionByName(good), rejected.unionByName(bad))
+        each(good, bad)
         open_ = missing(open_, good, key)
         if bad.isEmpty():
             break

@@ -69,10 +69,6 @@ def known_pattern(pattern, tax: Taxonomy = TAXONOMY) -> Column:
     return F.when((col(pattern) == "") | one_of(pattern, tax.interaction_patterns), col(pattern))
 
 
-def snippet_language(snippets, language, tax: Taxonomy = TAXONOMY) -> Column:
-    return F.transform(col(snippets), lambda s: s.withField("language", F.when(one_of(s["language"], tax.languages), s["language"]).otherwise(col(language))))
-
-
 def filled(json_text, key: str, default) -> Column:
     """The value of an absent key is the default; an explicit null stays null."""
     v = F.try_parse_json(col(json_text))

@@ -6,7 +6,7 @@ without a shuffle; errors() explodes them in the order of the checks.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,9 +22,14 @@ def error(condition: Column, field, message: str) -> Column:
     return F.when(F.coalesce(condition, F.lit(False)), F.struct(field.alias("field"), F.lit(message).alias("message")))
 
 
+def _or_none(errors: Column) -> Column:
+    """A null array, of a null list, has no errors."""
+    return F.coalesce(errors.cast(ERRORS), F.array().cast(ERRORS))
+
+
 def together(*parts: Column) -> Column:
-    """Of arrays of errors, without nulls."""
-    return F.filter(F.concat(*(p.cast(ERRORS) for p in parts)), lambda x: x.isNotNull())
+    """Of arrays of errors, without nulls; a null array, of a null list, has none."""
+    return F.filter(F.concat(*map(_or_none, parts)), lambda x: x.isNotNull())
 
 
 def scalar_errors(tax: Taxonomy = TAXONOMY) -> Column:
@@ -49,7 +54,7 @@ def at_message(i: Column, rest: str) -> Column:
 
 
 def message_errors(tax: Taxonomy = TAXONOMY) -> Column:
-    return F.flatten(F.transform("messages", lambda m, i: F.concat(F.array(error(~one_of(m["role"], tax.roles), at_message(i, "role"), "Unknown role")), snippet_errors(m["code_snippets"], at_message(i, ""), tax))))
+    return F.flatten(F.transform("messages", lambda m, i: F.concat(F.array(error(~one_of(m["role"], tax.roles), at_message(i, "role"), "Unknown role")), _or_none(snippet_errors(m["code_snippets"], at_message(i, ""), tax)))))
 
 
 def role_errors(tax: Taxonomy = TAXONOMY) -> Column:
@@ -78,7 +83,7 @@ def pii_in(text, field: Column | str) -> Column:
 def pii_errors() -> Column:
     """Message contents and their snippets' code, then the record's snippets' code."""
     code = lambda s, j, prefix: pii_in(s["code"], F.concat(prefix, F.lit("code_snippets["), j.cast("string"), F.lit("].code")))
-    inside = F.transform("messages", lambda m, i: F.concat(pii_in(m["content"], at_message(i, "content")), F.flatten(F.transform(m["code_snippets"], lambda s, j: code(s, j, at_message(i, ""))))))
+    inside = F.transform("messages", lambda m, i: F.concat(pii_in(m["content"], at_message(i, "content")), _or_none(F.flatten(F.transform(m["code_snippets"], lambda s, j: code(s, j, at_message(i, "")))))))
     return together(F.flatten(inside), F.flatten(F.transform("code_snippets", lambda s, j: code(s, j, F.lit("")))))
 
 
@@ -124,13 +129,13 @@ def _get(v, path: str, kind: str = "variant") -> Column:
     return F.try_variant_get(v, path, kind)
 
 
+_TYPES = {"OBJECT": "object", "ARRAY": "array", "STRING": "string", "VOID": "null", "BOOLEAN": "boolean", **dict.fromkeys(("TINYINT", "SMALLINT", "INT", "BIGINT"), "int")}
+
+
 def _type(v) -> Column:
     """object, array, string, int, number, boolean or null of a variant; null if it is absent."""
-    s = F.schema_of_variant(v)
-    return (
-        F.when(v.isNull(), F.lit(None)).when(s.startswith("OBJECT"), "object").when(s.startswith("ARRAY"), "array").when(s == "STRING", "string").when(s == "VOID", "null")
-        .when(s == "BOOLEAN", "boolean").when(s.isin("BIGINT", "TINYINT", "SMALLINT", "INT"), "int").otherwise("number")
-    )
+    known = F.create_map(*(F.lit(x) for kv in _TYPES.items() for x in kv))
+    return F.when(v.isNotNull(), F.coalesce(F.try_element_at(known, F.regexp_extract(F.schema_of_variant(v), "^[A-Z]+", 0)), F.lit("number")))
 
 
 def _keys(v) -> Column:
@@ -201,9 +206,26 @@ def _generator(v) -> Column:
     return F.when(_type(g) == "object", inner).otherwise(F.array(error(~_type(g).isin("null", "object"), "generator", "Input should be an object")))
 
 
-def structural_errors(line) -> Column:
-    """All structural errors of a line that is strict JSON, with their paths."""
-    v = F.try_parse_json(col(line))
+def parsed_once(df: DataFrame, line: str, out: str) -> DataFrame:
+    """df with the line as a variant. It comes out of a generator, so that no rule copies the parsing into what reads it."""
+    return df.select("*", F.explode(F.array(F.try_parse_json(line))).alias(out))
+
+
+def with_structure(df: DataFrame, line: str = "line", out: str = "structure") -> DataFrame:
+    """df with the structural errors of the line; null for no line."""
+    return parsed_once(df, line, _PARSED).withColumn(out, F.when(F.col(line).isNotNull(), structural_errors())).drop(_PARSED)
+
+
+_PARSED = "__parsed"
+
+
+@cache
+def structural_errors() -> Column:
+    """All structural errors of the variant in column _PARSED, a line that is strict JSON, with their paths.
+
+    It is built once: its thousands of parts take seconds to make, each by a call to the JVM.
+    """
+    v = F.col(_PARSED)
     tools, t = _get(v, "$.tools", "array<variant>"), _type(_get(v, "$.tools"))
     required = ("id", "task_type", "difficulty", "language")
     optional = ("category", "subcategory", "intent", "learning_stage", "conversation_length", "interaction_pattern")

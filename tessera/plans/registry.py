@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.core import choice
-from tessera.operators import attempts, dedup, extract, generate, quality, report, split, stats, validate
+from tessera.operators import attempts, chat, dedup, extract, generate, quality, report, run, split, stats, validate
+from tessera.plans import stub
 from tessera.schema import FATAL_KEYWORDS, PII, SPEC_FIELDS, TAXONOMY, TURN_BOUNDS
 from tessera.sources import jsonl
 from tessera.sources.tables import CONVERSATIONS_SQL, conversations, table
@@ -221,8 +222,9 @@ _COUNTS = "[" + _error("coalesce(turn_count, n) <> n", "'metadata.turn_count'",
 _COVERAGE = (
     "["
     + ", ".join(
-        _error(when, f"'metadata.coverage.{f}'", f"Coverage metadata must match conversation {f}")
-        for f, when in (("category", f"category IS DISTINCT FROM {_pick(TAXONOMY.categories, 'conv_id')}"), ("intent", "conv_id % 10 = 3"))
+        _error(when, f"'{prefix}.{f}'", f"{message} must match conversation {f}")
+        for prefix, message, odd in (("metadata.coverage", "Coverage metadata", ("intent", "conv_id % 10 = 3")), ("generator.parameters.coverage_matrix", "Generator coverage matrix", ("difficulty", "conv_id % 14 = 6")))
+        for f, when in (("category", f"category IS DISTINCT FROM {_pick(TAXONOMY.categories, 'conv_id')}"), odd)
     )
     + "]"
 )
@@ -256,17 +258,17 @@ def metadata_turncount_errors(spark, d):
 
 @query(_errors(_listed(_COVERAGE)))
 def coverage_mismatch_errors(spark, d):
-    return validate.errors(conversations(spark, d), validate.coverage_errors())
+    return validate.errors(conversations(spark, d), validate.coverage_errors(generator=True))
 
 
 @query(_errors(_ALL))
 def validation_report(spark, d):
-    return validate.errors(conversations(spark, d), validate.all_errors())
+    return validate.errors(conversations(spark, d), validate.all_errors(generator=True))
 
 
 @query(_errors(_ALL).replace("SELECT id, i - 1 AS ord, l[i].field AS field, l[i].message AS message FROM k", "SELECT l[i].message AS message, count(*) AS n, count(DISTINCT id) AS records FROM k GROUP BY 1"))
 def validation_summary(spark, d):
-    return validate.errors(conversations(spark, d), validate.all_errors()).groupBy("message").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("records"))
+    return validate.errors(conversations(spark, d), validate.all_errors(generator=True)).groupBy("message").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("records"))
 
 
 @query(_sql(f", e AS (SELECT id, {_listed(_SCALAR, _PATTERNS, _TOOL, _MESSAGES)} AS l FROM conv) SELECT id, array_to_string(list_transform(l, lambda x: x.field), ',') AS fields FROM e WHERE len(l) > 0"))
@@ -380,13 +382,13 @@ def leakage_check(spark, d):
 
 # JSON Lines. Lines are made from conversations; some are blank, malformed or of another structure.
 
-_BLANK, _BROKEN, _OTHER = "conv_id % 12 = 7", "conv_id >= 20 AND conv_id % 9 = 4", "conv_id >= 20 AND conv_id % 15 = 2"
+_BLANK, _BROKEN, _OTHER = "conv_id % 12 = 7", "conv_id >= 12 AND conv_id % 9 = 4", "conv_id >= 12 AND conv_id % 15 = 2"
 _BAD = f"NOT ({_BLANK}) AND (({_BROKEN}) OR ({_OTHER}))"
 
 
 def _lines(spark, d) -> DataFrame:
     record = F.to_json(F.struct("id", "task_type", "category", "difficulty", "language", F.transform("messages", lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content"), F.array().cast("array<string>").alias("code_snippets"))).alias("messages"), F.transform("tools", lambda t: t).alias("tools")))
-    line = F.when(F.expr(_BLANK), "  ").when(F.expr(_BROKEN), F.concat(record, F.lit(" trailing"))).when(F.expr(_OTHER), '{"id": "bad", "not_a_field": true}').otherwise(record)
+    line = F.when(F.expr(_BLANK), "  ").when(F.expr(_BROKEN), F.concat(record, F.lit(" trailing"))).when(F.expr(_OTHER), '{"id": "odd", "surplus": 1}').otherwise(record)
     return conversations(spark, d).select(F.col("conv_id").alias("ord"), line.alias("line"))
 
 
@@ -436,7 +438,7 @@ _SHAPES = (
 def structural_errors(spark, d):
     ids = table(spark, d, "conversations").select("conv_id").distinct()
     lines = ids.select("conv_id", choice([x[0] for x in _SHAPES], F.col("conv_id")).alias("line"))
-    return lines.select("conv_id", F.explode(validate.structural_errors("line")).alias("e")).select("conv_id", "e.field")
+    return validate.with_structure(lines).select("conv_id", F.explode("structure").alias("e")).select("conv_id", "e.field")
 
 
 @query("SELECT conv_id, CASE conv_id % 3 WHEN 0 THEN '<missing>' WHEN 1 THEN 'None' ELSE conv_id::VARCHAR END AS record_id FROM (SELECT DISTINCT conv_id FROM conversations)")
@@ -477,18 +479,18 @@ def semantic_dup_matches(spark, d):
 
 
 @query(
-    f"WITH s AS (SELECT a.vec_id AS candidate, b.vec_id AS canonical, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS s FROM embeddings a, embeddings b WHERE a.vec_id % 50 = 0 AND b.vec_id % 50 <> 0) "
+    f"WITH s AS (SELECT a.vec_id AS candidate, b.vec_id AS canonical, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS s FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0) "
     f"SELECT candidate, canonical, round(s, 6) AS similarity FROM s WHERE s >= {MATCH} QUALIFY row_number() OVER (PARTITION BY candidate ORDER BY round(s, 6) DESC, canonical) = 1"
 )
 def best_match_lookup(spark, d):
     vectors = table(spark, d, "embeddings")
-    return dedup.best_match(vectors.where("vec_id % 50 = 0"), vectors.where("vec_id % 50 <> 0"), MATCH)
+    return dedup.best_match(vectors.where("vec_id % 50 = 0"), vectors, MATCH)
 
 
 # Extraction. Replies are made from documents: fenced, embedded, an array, or without JSON.
 
 _REPLY = """CASE doc_id % 4 WHEN 0 THEN 'Sure:' || chr(10) || '```json' || chr(10) || '{"id": ' || doc_id || '}' || chr(10) || '```' || chr(10) || 'and ```JSON {"b": 2} ``` too'
- WHEN 1 THEN 'prefix {"name": "alpha with } in it", "id": ' || doc_id || '} suffix' WHEN 2 THEN 'list [{"id": ' || doc_id || '}, 2] end' ELSE 'no JSON { here' END"""
+ WHEN 1 THEN 'see {"q": "a } b", "id": ' || doc_id || '} there' WHEN 2 THEN 'list [{"id": ' || doc_id || '}, 2] end' ELSE 'no JSON { here' END"""
 
 
 def _replies(spark, d) -> DataFrame:
@@ -501,7 +503,7 @@ def fenced_json(spark, d):
     return _replies(spark, d).select("doc_id", F.size(blocks).alias("n_blocks"), F.try_element_at(blocks, F.lit(1)).alias("first_block"))
 
 
-@query("""SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '{"id": ' || doc_id || '}' WHEN 1 THEN '{"name": "alpha with } in it", "id": ' || doc_id || '}' WHEN 2 THEN '{"id": ' || doc_id || '}' END AS json FROM documents""")
+@query("""SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN '{"id": ' || doc_id || '}' WHEN 1 THEN '{"q": "a } b", "id": ' || doc_id || '}' WHEN 2 THEN '{"id": ' || doc_id || '}' END AS json FROM documents""")
 def balanced_json(spark, d):
     return _replies(spark, d).select("doc_id", extract.first_json("reply").alias("json"))
 
@@ -627,3 +629,51 @@ _ERRORS = ("Quota exceeded today", "timeout", "INVALID API KEY given", "connecti
 @query(f"SELECT event_id, {' OR '.join(f"contains(lower(m), '{k}')" for k in FATAL_KEYWORDS)} AS fatal FROM (SELECT event_id, {_pick(_ERRORS, 'event_id')} AS m FROM events)")
 def fatal_errors(spark, d):
     return table(spark, d, "events").select("event_id", validate.fatal(choice(_ERRORS, F.col("event_id"))).alias("fatal"))
+
+
+# Prompts, embeddings and the generation run, with a model whose answers follow from the prompt.
+
+
+@query(_sql(" SELECT conv_id, '<' || id || '|' || coalesce(nullif(task_type, ''), category, '') || '|' || coalesce(nullif(category, ''), task_type) || '|' || array_to_string(tools, ', ') || '|' || coalesce(turn_count::VARCHAR, '') || '|{}>' AS prompt FROM conv"))
+def prompt_texts(spark, d):
+    return chat.prompts(conversations(spark, d), "<{id}|{task_type}|{category}|{tools}|{turn_count}|{{}}>").select("conv_id", "prompt")
+
+
+@query("SELECT doc_id, length(coalesce(text, ''))::DOUBLE AS n, (length(coalesce(text, '')) - length(replace(coalesce(text, ''), 'e', '')))::DOUBLE AS e FROM documents")
+def embedded_texts(spark, d):
+    encoder = lambda: lambda texts: [(len(t), t.count("e")) for t in texts]
+    rows = table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return dedup.embed(rows, encoder, "text").select("doc_id", F.col("embedding")[0].alias("n"), F.col("embedding")[1].alias("e"))
+
+
+_OUTCOMES = {stub.API_ERROR: "api_error", stub.NO_JSON: "generation_error", stub.PERSONAL: "validation_failed", stub.COPY: "duplicate", stub.SHALLOW: "quality_failed", stub.UNEXPECTED: "unexpected_error"}
+_RUN_ATTEMPTS = 3
+#: The first sample's first attempt is the one that others copy.
+_RUN = (
+    f"k AS (SELECT sample_index, attempt, (7 * sample_index + 3 * attempt) % {stub.KINDS} AS kind FROM range((SELECT count(DISTINCT conv_id) FROM conversations)) s(sample_index), range(1, {_RUN_ATTEMPTS + 1}) a(attempt)), "
+    f"o AS (SELECT *, CASE WHEN sample_index = 0 AND kind = {stub.COPY} THEN NULL {' '.join(f"WHEN kind = {k} THEN '{v}'" for k, v in _OUTCOMES.items())} END AS reason FROM k), "
+    f"a AS (SELECT sample_index, attempt, kind, reason FROM (SELECT *, min(CASE WHEN reason IS NULL THEN attempt END) OVER (PARTITION BY sample_index) AS won FROM o) WHERE attempt <= coalesce(won, {_RUN_ATTEMPTS}))"
+)
+
+
+def _run(spark, d, existing=None) -> DataFrame:
+    n = table(spark, d, "conversations").select("conv_id").where("conv_id IS NOT NULL").distinct().count()
+    made = run.Run(stub.client, stub.TEMPLATE, stub.encoder, stub.judge, stub.JUDGE_TEMPLATE, max_attempts=_RUN_ATTEMPTS, options={"max_retries": 0, "parse_retries": 0, "seed": 7})
+    good, bad = made(generate.scenarios(generate.coverage_matrix(spark, n)), existing)
+    return good.unionByName(bad)
+
+
+@query(f"WITH {_RUN} SELECT sample_index, attempt, reason FROM a")
+def generation_run(spark, d):
+    return _run(spark, d).select("sample_index", F.col("attempt").cast("long").alias("attempt"), "reason")
+
+
+@query(f"WITH {_RUN} SELECT sample_index, 'git' AS tools, 'go' AS language, sample_index AS rating, sample_index AS made_for, 7 AS seed, 15 AS tokens FROM a WHERE reason IS NULL")
+def generated_records(spark, d):
+    """What the accepted records hold: repaired values, keys of the reply's own, metadata and generator."""
+    at = lambda path: F.get_json_object("json", path)
+    rows = _run(spark, d).where("reason IS NULL")
+    return rows.select(
+        "sample_index", F.array_join(F.from_json(at("$.tools"), "array<string>"), ",").alias("tools"), at("$.language").alias("language"), at("$.metadata.rating").cast("long").alias("rating"),
+        at("$.generator.parameters.sample_index").cast("long").alias("made_for"), at("$.generator.seed").cast("int").alias("seed"), at("$.metadata.token_usage.total_tokens").cast("int").alias("tokens"),
+    )

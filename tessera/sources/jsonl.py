@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.core import not_blank, strict_json, strip
-from tessera.operators.validate import structural_errors
+from tessera.operators.validate import with_structure
 from tessera.schema import CONVERSATION, METADATA, SNIPPET
 
 
@@ -24,10 +24,15 @@ def lines(spark: SparkSession, path: str) -> DataFrame:
     return raw
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def checked(df: DataFrame, line: str = "line") -> DataFrame:
     """Non-blank lines with is_json and valid (the structure of a conversation)."""
-    rows = df.where(not_blank(line)).withColumn("is_json", strict_json(line))
-    return rows.withColumn("valid", F.when(F.col("is_json"), F.size(structural_errors(line)) == 0).otherwise(F.lit(False)))
+    rows = with_structure(df.where(not_blank(line)).withColumn("is_json", strict_json(line)), line, "valid")
+    return rows.withColumn("valid", F.col("is_json") & (F.size("valid") == 0))
 
 
 def parsed(df: DataFrame, line: str = "line") -> DataFrame:
@@ -86,12 +91,6 @@ def write_splits(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("split").json(path)
 
 
-def write_pretty(df: DataFrame, path: str) -> None:
-    """A small table as one indented JSON array, for people to read."""
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump([json.loads(x) for x in df.toJSON().toLocalIterator()], f, indent=2, ensure_ascii=True)
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -15,7 +16,10 @@ from tessera.schema import SPEC_FIELDS, TAXONOMY
 
 
 def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share. A local one is made only where none is set and all run on this machine."""
     if (path := spark.conf.get("spark.checkpoint.dir", None)) is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="tessera-")
         atexit.register(shutil.rmtree, path, True)
         spark.conf.set("spark.checkpoint.dir", path)
@@ -37,6 +41,7 @@ def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One record a conv_id, with coordinates derived from it: balanced as the coverage matrix is, with some gaps and mistakes."""
     i, no = F.col("conv_id"), F.array().cast("array<struct<language: string, code: string, filename: string, purpose: string>>")
     message = F.struct("role", F.col("text").alias("content"), F.when(F.col("turn") == 1, F.array(F.struct(choice((*TAXONOMY.languages, "brainfuck"), F.col("conv_id")).alias("language"), F.lit("pass").alias("code"), F.lit(None).cast("string").alias("filename"), F.lit(None).cast("string").alias("purpose")))).otherwise(no).alias("code_snippets"))
+    matrix = F.create_map(*(x for f in SPEC_FIELDS[:4] for x in (F.lit(f), F.when((i % 14 == 6) & F.lit(f == "difficulty"), F.lit("other")).otherwise(choice(TAXONOMY.of(f), i + SPEC_FIELDS.index(f))))))
     rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", message.alias("m")))).alias("all"))
     spec = {f: choice(TAXONOMY.of(f), i + d) for d, f in enumerate(SPEC_FIELDS)}
     coverage = F.create_map(*(x for f in SPEC_FIELDS[:4] for x in (F.lit(f), F.when((i % 10 == 3) & F.lit(f == "intent"), F.lit("other")).otherwise(spec[f]))))
@@ -47,6 +52,7 @@ def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.filter(F.array(*(F.when(F.shiftright(i, k).bitwiseAND(F.lit(1)) == 1, F.lit(t)) for k, t in enumerate(("shell", "git", "hammer", "editor")))), lambda x: x.isNotNull()).alias("tools"),
         F.when(i % 4 == 0, None).otherwise(choice((*TAXONOMY.interaction_patterns, "monologue"), i)).alias("interaction_pattern"),
         F.struct(F.lit("synthetic").alias("source"), F.when(i % 3 == 0, None).when(i % 7 == 1, 99).otherwise(F.size("all")).cast("long").alias("turn_count"), coverage.alias("coverage")).alias("metadata"),
+        F.struct(F.lit("tables").alias("name"), F.lit("1").alias("version"), F.struct(matrix.alias("coverage_matrix")).alias("parameters")).alias("generator"),
     )
 
 
