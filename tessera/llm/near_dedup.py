@@ -150,8 +150,9 @@ def _links(texts, signed, reps, shingle, numerator, denominator) -> DataFrame:
     distinct_bands = signed.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc"), "bands").join(reps.select("doc", "n"), "doc").dropDuplicates(["doc"])
     members = materialise(distinct_bands, "distinct-bands").select("doc", "n", F.explode("bands").alias("bucket"))
     anchors = materialise(members.groupBy("bucket").agg(F.min(F.struct("doc", "n")).alias("a"), F.count(F.lit(1)).alias("count")).where("count > 1"), "anchors")
-    # Members of shared buckets; far: the distance to the first anchor, once known.
-    members = materialise(join_hot(members, anchors.drop("count"), "bucket", counts=anchors).select("bucket", "doc", "n", F.col("a.doc").alias("anchor"), F.col("a.n").alias("an")), "bucket-members")
+    # Members of shared buckets; far: the distance to the first anchor, once known. Spark splits the rows of a hot bucket,
+    # as nothing after the join needs them together.
+    members = materialise(members.join(anchors.drop("count"), "bucket").select("bucket", "doc", "n", F.col("a.doc").alias("anchor"), F.col("a.n").alias("an")), "bucket-members")
     ids = materialise(members.select("doc").distinct(), "candidate-docs")
     few = ids.count() <= BROADCAST_IDS
     wanted = texts.where("doc_id IS NOT NULL").join(F.broadcast(ids) if few else ids, F.col("doc_id") == F.col("doc"), "left_semi")
@@ -175,7 +176,7 @@ def _links(texts, signed, reps, shingle, numerator, denominator) -> DataFrame:
     several = materialise(sizes.select("bucket", F.col("top.comp").alias("largest"), F.ceil(F.col("all") / MEMBERS).alias("chunks"), F.ceil((F.col("all") - F.col("top.k")) / STRAYS).alias("groups")), "open-buckets")
     if several.isEmpty():
         return edges
-    open_ = join_hot(open_, several, "bucket")
+    open_ = open_.join(several, "bucket")
     place = lambda seed, n: F.pmod(F.xxhash64("doc", F.lit(seed)), n)
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
     kept = ["bucket", "doc", "n", "far", "comp"]

@@ -4,6 +4,8 @@ Only a space before a character that isn't white space is sure to start a pre-to
 into pieces whose ids don't depend on their neighbours. The pieces of many texts are told apart by
 64-bit hashes of their bytes (see words.py), each distinct piece is encoded once per worker, and the ids
 are gathered by numpy. Texts with other white space after a space are encoded whole.
+
+The vocabulary has one name for a control id, SPECIAL. It is ordinary text unless a caller asks for special=True.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from tessera.llm.words import _scan
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 VOCABULARY = 50_257
 END = 50_256
+SPECIAL = "<|endoftext|>"
 #: Distinct pieces that a worker remembers.
 REMEMBERED = 1_000_000
 CHUNK_BYTES = 1 << 21
@@ -29,7 +32,7 @@ class Encoder:
     def __init__(self, ranks: str = RANKS):
         with open(ranks, "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        self.bpe = tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={})
+        self.bpe = tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens={SPECIAL: END})
         self.widths = np.zeros(VOCABULARY, np.int64)
         self.widths[list(table.values())] = list(map(len, table))
         self._forget()
@@ -56,22 +59,23 @@ class Encoder:
         at = np.minimum(np.searchsorted(self.hashes, hashes), max(0, len(self.hashes) - 1))
         return at, self.hashes[at] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
 
-    def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
-        """The ids of each text, uint16, in order."""
+    def encode(self, texts: list[bytes], special: bool = False) -> Iterator[np.ndarray]:
+        """The ids of each text, uint16, in order. special: SPECIAL in a text is the id END."""
         first, size = 0, 0
         for i, t in enumerate(texts):
             size += len(t)
             if size >= CHUNK_BYTES or i == len(texts) - 1:
-                yield from self._chunk(texts[first : i + 1])
+                yield from self._chunk(texts[first : i + 1], special)
                 first, size = i + 1, 0
 
-    def _whole(self, text: bytes) -> np.ndarray:
-        return np.array(self.bpe.encode_ordinary(text.decode()), np.uint16)
+    def _whole(self, text: bytes, special: bool = False) -> np.ndarray:
+        return np.array(self.bpe.encode(text.decode(), allowed_special="all") if special else self.bpe.encode_ordinary(text.decode()), np.uint16)
 
-    def _chunk(self, texts: list[bytes]) -> Iterator[np.ndarray]:
+    def _chunk(self, texts: list[bytes], special: bool) -> Iterator[np.ndarray]:
         # The first piece of a text has no space before it; it is encoded by itself.
         heads = [t.partition(b" ") for t in texts]
-        odd = [b"  " in t or t.endswith(b" ") for t in texts]
+        named = [special and SPECIAL.encode() in t for t in texts]
+        odd = [n or b"  " in t or t.endswith(b" ") for n, t in zip(named, texts, strict=True)]
         rest = [b"" if o else x[2] for x, o in zip(heads, odd, strict=True)]
         h, a, starts, ends = _scan(b" ".join(rest))
         order = np.argsort(h)
@@ -99,7 +103,7 @@ class Encoder:
         for k, t in enumerate(texts):
             p, q = bounds[k], bounds[k + 1]
             if odd[k] or bad[q] > bad[p] or p == q:
-                yield self._whole(t)
+                yield self._whole(t, named[k])
             else:
                 yield np.concatenate([self._whole(heads[k][0]), ids[to[p] : to[q]]])
 
