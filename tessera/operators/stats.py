@@ -25,7 +25,8 @@ def distributions(df: DataFrame, fields=FIELDS, order="conv_id", tools: str | No
     pair = lambda f: F.array(F.struct(F.lit(f).alias("field"), (known(f) if f in _UNKNOWN else F.col(f)).alias("value")))
     arrays = [pair(f) for f in fields]
     if tools:
-        arrays.append(F.transform(tools, lambda t: F.struct(F.lit("tools").alias("field"), t.alias("value"))))
+        named = F.transform(tools, lambda t: F.struct(F.lit("tools").alias("field"), t.alias("value")))
+        arrays.append(F.coalesce(named, F.array().cast("array<struct<field: string, value: string>>")))
     counts = df.select(F.col(order).alias("ord"), F.explode(F.concat(*arrays)).alias("x")).groupBy("x.field", "x.value").agg(F.count(F.lit(1)).alias("count"), F.min("ord").alias("first"))
     total = df.agg(F.count(F.lit(1)).alias("total"))  # one row
     rank = F.row_number().over(Window.partitionBy("field").orderBy(F.desc("count"), "first", "value"))
