@@ -24,6 +24,14 @@ def plain():
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
+@pytest.fixture(scope="module")
+def ordinary():
+    """Where the name of the control id is ordinary text."""
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    return lambda text: t.encode(text or "", add_special_tokens=False).ids
+
+
 @pytest.fixture(scope="module")
 def docs(spark):
     texts = [*ODD, None, *ODD[:3], *("word%d and more of it " % (i % 7) * (i * 3 % 900 + 1) for i in range(80))]
@@ -101,11 +109,11 @@ def test_empty_tables(spark):
 
 
 @pytest.mark.parametrize("block", [1, 7, 1 << 18])
-def test_token_counts(docs, plain, block):
+def test_token_counts(docs, ordinary, block):
     df, texts = docs
     few = df.where("doc_id < 24")
     rows = document_token_counts(few, block_tokens=block).collect()
-    assert {r.doc_id: r.n_tokens for r in rows} == {i: len(plain(t)) for i, t in enumerate(texts[:24])} and len(rows) == 24
+    assert {r.doc_id: r.n_tokens for r in rows} == {i: len(ordinary(t)) for i, t in enumerate(texts[:24])} and len(rows) == 24
 
 
 def test_unterminated_file(spark):
