@@ -1,4 +1,4 @@
-"""python -m tessera.cli COMMAND: generate, generate-llm, validate, evaluate, split, docs.
+"""python -m tessera.cli COMMAND: generate, generate-llm, clinical, validate, evaluate, split, docs.
 
 Models are reached through --client MODULE:FUNCTION, a function that makes a client: prompt -> {text, usage}.
 """
@@ -9,11 +9,14 @@ import argparse
 import importlib
 import json
 import sys
+from dataclasses import asdict
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import attempts, dedup, generate, model, quality, report, run, split, validate
+from tessera.functions.core import seeded
+from tessera.operators import attempts, dedup, generate, model, quality, report, run, split, stats, validate
 from tessera.sources import jsonl
 from tessera.sources.tables import materialise
 
@@ -31,10 +34,20 @@ def _records(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
 
 
 def cmd_generate(spark, a) -> int:
-    jsonl.write(generate.scenarios(generate.coverage_matrix(spark, a.count, a.seed), a.seed), a.out)
+    """Scenarios in seeded order."""
+    jsonl.write(generate.scenarios(generate.coverage_matrix(spark, a.count, a.seed).orderBy("shuffle_key"), a.seed), a.out)
     return 0
 
 
+def cmd_clinical(spark, a) -> int:
+    """Writes the clinical table as CSV and checks what can be read back."""
+    jsonl.write_csv(generate.clinical(spark, a.rows, a.seed), a.out)
+    rows = jsonl.read_csv(spark, a.out)
+    said = stats.csv_report(rows).first().asDict() | stats.prevalence(rows, "ckd_diagnosis").first().asDict()
+    print(json.dumps(said))
+    return int((said["n_rows"], said["n_columns"], said["empty_cells"] or 0) != (a.rows, 27, 0))
+
+
 def cmd_generate_llm(spark, a) -> int:
     """Makes what is missing of count samples. Waves are appended as they end, so an ended run goes on where it was."""
     text = lambda name: jsonl.text_resource(a.prompts, name) if name else ""
@@ -87,19 +100,26 @@ def cmd_split(spark, a) -> int:
         raise ValueError(f"ids occur more than once: {twice}")
     kept = dedup.keep_first(rows, dedup.content_hash(), "conv_id")
     done = split.assert_sound(split.stratified(kept, ("category", "difficulty", "intent"), "id", split.SplitConfig(a.train, a.validation, a.test, a.seed)), "id")
-    jsonl.write_splits(done.drop("conv_id"), a.out)
+    jsonl.write_splits(done.drop("conv_id"), a.out, seeded(a.seed, "id"))
     jsonl.write_info(report.statistics(done), a.statistics)
+    if a.info:
+        about = {"name": a.name, "created_at": datetime.now(UTC).isoformat()}
+        jsonl.write_info(asdict(report.dataset_info(done, **about)), a.info)
     print(json.dumps(counts))
     return 0
 
 
 def cmd_docs(spark, a) -> int:
-    with open(a.statistics, encoding="utf-8") as f:
-        s = json.load(f)
-    rows, _ = _records(spark, a.path)
-    first = report.example_per_difficulty(rows)
-    examples = [json.loads(x) for x in rows.join(first.select("conv_id"), "conv_id").orderBy("conv_id").drop("conv_id").toJSON().collect()]
-    print("\n".join(report.write_docs(a.out, report.DatasetInfo(name=a.name, splits=s.get("splits", {})), s, examples)))
+    """Dataset info, statistics and conversations are each optional; what is missing has a default."""
+    s = report.load_statistics(a.statistics)
+    given = {"name": a.name, "splits": s.get("splits", {})}
+    info = report.DatasetInfo.load(a.info, **given)
+    examples = []
+    if a.path and jsonl.exists(spark, a.path):
+        rows, _ = _records(spark, a.path)
+        first = report.example_per_difficulty(rows)
+        examples = [json.loads(x) for x in rows.join(F.broadcast(first.select("conv_id")), "conv_id").orderBy("conv_id").drop("conv_id").toJSON().collect()]
+    print("\n".join(report.write_docs(a.out, info, s, examples)))
     return 0
 
 
@@ -117,8 +137,9 @@ def parser() -> argparse.ArgumentParser:
     command("generate-llm", cmd_generate_llm, out=None, failures=None, client=None, prompts=None, template="generate.txt", judge="", judge_template="judge.txt", encoder="", model="", count=84, seed=42, attempts=5, similarity=0.92, threshold=0.7, temperature=0.7)
     command("validate", cmd_validate, path=None)
     command("evaluate", cmd_evaluate, path=None, out=None, client=None, prompts=None, template="judge.txt", threshold=0.7)
-    command("split", cmd_split, path=None, out=None, statistics=None, train=0.8, validation=0.1, test=0.1, seed=42)
-    command("docs", cmd_docs, path=None, statistics=None, out=None, name="conversations")
+    command("clinical", cmd_clinical, out=None, rows=9000, seed=2026)
+    command("split", cmd_split, path=None, out=None, statistics=None, info="", name="conversations", train=0.8, validation=0.1, test=0.1, seed=42)
+    command("docs", cmd_docs, out=None, path="", statistics="", info="", name="conversations")
     return p
 
 

@@ -13,7 +13,7 @@ FOLLOW_UPS = ("What about edge cases?", "They are covered as follows.")
 
 
 def coverage_matrix(spark: SparkSession, count: int, seed: int = 42, taxonomy: Taxonomy = TAXONOMY) -> DataFrame:
-    """sample_index, six coordinates and pos, the place after a seeded shuffle.
+    """sample_index, six coordinates and shuffle_key; rows in its order are shuffled by the seed.
 
     Dimension d of row i is values[(i + d) mod size], so each value of a dimension occurs as often as
     any other, give or take one; which combinations occur follows from the sizes.

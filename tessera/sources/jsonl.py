@@ -6,7 +6,7 @@ import json
 import os
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.core import not_blank, strict_json, strip
@@ -86,13 +86,20 @@ def write(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
 
-def write_splits(df: DataFrame, path: str) -> None:
-    """One folder for each value of the column split."""
-    df.write.mode("overwrite").partitionBy("split").json(path)
+def write_splits(df: DataFrame, path: str, order: Column | None = None) -> None:
+    """One folder for each value of the column split, its rows in the given order across files."""
+    rows = df if order is None else df.orderBy("split", order)
+    rows.write.mode("overwrite").partitionBy("split").json(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """With a header in each file; quotes are doubled, as other readers expect."""
+    df.write.mode("overwrite").options(header=True, escape='"').csv(path)
+
+
+def read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """All columns as text; an empty cell is null, quoted or not. Cells may hold line feeds."""
+    return spark.read.options(header=True, escape='"', multiLine=True).csv(path)
 
 
 def write_info(row: dict, path: str) -> None:
