@@ -43,10 +43,11 @@ def test_encoder_is_the_tokenizer(plain):
         assert [x.tolist() for x in Encoder().encode([t.encode() for t in texts], special=True)] == [plain(t) for t in texts]
 
 
-def test_each_id_in_one_piece(docs, plain):
+@pytest.mark.parametrize("neighbourhood", [None, 1, 7, 1000])
+def test_each_id_in_one_piece(docs, plain, neighbourhood):
     df, texts = docs
     pieces, sequences = defaultdict(list), defaultdict(list)
-    for r in pack_documents(df, shard_docs=16).collect():
+    for r in pack_documents(df, shard_docs=16, neighbourhood=neighbourhood).collect():
         pieces[r.doc_id].append(r)
         sequences[r.sequence_id].append(r)
     assert sorted(pieces) == list(range(len(texts)))
@@ -87,6 +88,19 @@ def test_neighbours_are_those_of_all_shards(spark):
     assert met >= 140, met
 
 
+def test_copies_are_dealt_together(spark):
+    """Pairs of near copies among 300 texts, 16 at a time: most pairs are packed together."""
+    rng = np.random.default_rng(4)
+    words = ["".join(map(chr, rng.integers(97, 123, 6))) for _ in range(3000)]
+    sets = [rng.choice(words, 40, replace=False).tolist() for _ in range(150)]
+    df = spark.createDataFrame([(i, " ".join(sets[i % 150][: 40 - i // 150])) for i in range(300)], "doc_id long, text string").repartition(4)
+    by = defaultdict(set)
+    for r in pack_documents(df, window=260, neighbourhood=16).collect():
+        by[r.doc_id].add(r.sequence_id)
+    met = sum(bool(by[i] & by[i + 150]) for i in range(150))
+    assert met >= 110, met
+
+
 def test_neighbours_against_brute_force(spark):
     rng = np.random.default_rng(5)
     texts = [rng.integers(0, 300, rng.integers(1, 60)).astype(np.uint16) for _ in range(200)]
