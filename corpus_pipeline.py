@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm.common import materialise
+from tessera.llm.common import discard, materialise
 from tessera.llm.decontaminate import keep_clean
 from tessera.llm.exact_dedup import keep_first
 from tessera.llm.language_id import keep_identified
@@ -47,7 +47,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The rows of the last stage. A stage's table is removed when the next one is written; the last remains, as the result reads it.
+
+    Null texts, as all without letters, end at the first stage; repeated rows become one at the second; without documents
+    there are no rows; columns beside doc_id, text and lang are carried along, whatever their names, up to the last stage.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not None:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
