@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from tessera.llm.packing import Shard, neighbours, pack_documents
+from tessera.llm.packing import Queries, Shard, neighbours, pack_documents
 from tessera.llm.token_counts import document_token_counts, token_counts
 from tessera.llm.tokens import END, VOCABULARY, Encoder
 
@@ -136,3 +136,49 @@ def test_unterminated_file(spark):
         blocks = spark.createDataFrame([(0, k, flat[i : i + size].tobytes()) for k, i in enumerate(range(0, 9, size))], "file long, block long, payload binary")
         rows = sorted((r.ordinal, r.start, r.n_tokens, r.terminated) for r in token_counts(blocks).collect())
         assert rows == [(0, 0, 1, True), (1, 2, 0, True), (2, 3, 3, True), (3, 7, 2, False)]
+
+
+@pytest.mark.parametrize("every", [1, 3, 50])
+def test_asking_documents_are_packed_with_all(docs, plain, every):
+    """Whatever asks, each id is in one piece and nothing is padded."""
+    df, texts = docs
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in pack_documents(df, shard_docs=16, every=every).collect():
+        pieces[r.doc_id].append(r)
+        sequences[r.sequence_id].append(r)
+    assert sorted(pieces) == list(range(len(texts)))
+    for i, t in enumerate(texts):
+        ids, at = np.array([*plain(t), 1], "<u4"), 0
+        for r in sorted(pieces[i], key=lambda r: r.start):
+            assert (r.start, r.doc_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(ids[at : at + r.length].tobytes()))
+            at += r.length
+        assert at == len(ids)
+    for rows in sequences.values():
+        at = 0
+        for r in sorted(rows, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= 2048 and at & (at - 1) == 0
+
+
+def test_asking_documents_meet_all_others(spark):
+    """Two documents fill a window; each that asks is packed with the other one of its own words, in whatever shard that is."""
+    rng, letters = np.random.default_rng(3), [chr(c) for c in (*range(65, 91), *range(97, 123))]
+    sets = [rng.choice(letters, 8, replace=False).tolist() for _ in range(150)]
+    df = spark.createDataFrame([(i, " ".join(sets[i % 150] * 8)) for i in range(300)], "doc_id long, text string").repartition(4)
+    by = defaultdict(set)
+    for r in pack_documents(df, window=130, shard_docs=32, every=10).collect():
+        by[r.doc_id].add(r.sequence_id)
+    asking = range(0, 150, 10)
+    assert sum(bool(by[i] & by[i + 150]) for i in asking) >= len(asking) - 1
+
+
+def test_a_search_is_a_few_products(spark):
+    """Scores by matrix are those of one query at a time, also for terms that have no column."""
+    rng = np.random.default_rng(6)
+    texts = [rng.zipf(1.2, 200).clip(0, 4000).astype(np.uint16) for _ in range(300)]
+    idf = np.r_[0, rng.random(VOCABULARY - 1)].astype(np.float32)
+    index, queries = Shard(texts, idf, 200.0), Queries([(i, x, 1) for i, x in enumerate(texts)], idf > 0)
+    index.matrix()
+    for i, j, query, terms in queries.blocks():
+        assert np.allclose(index.scores_of(j - i, query, terms), [index.scores(x) for x in texts[i:j]], rtol=1e-5)
