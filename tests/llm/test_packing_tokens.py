@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import tracemalloc
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from tessera.llm.packing import Queries, Shard, neighbours, pack_documents
+from tessera.llm import tokens, words
+from tessera.llm.packing import Queries, Shard, _shown, neighbours, pack_documents
 from tessera.llm.token_counts import document_token_counts, token_counts
 from tessera.llm.tokens import END, VOCABULARY, Encoder
 
@@ -182,3 +185,49 @@ def test_a_search_is_a_few_products(spark):
     index.matrix()
     for i, j, query, terms in queries.blocks():
         assert (index.scores_of(j - i, query, terms) == [index.scores(x) for x in texts[i:j]]).all()
+
+
+def test_an_index_is_built_and_asked_in_little_memory():
+    """Bytes in use at most while an index is built, its matrix is filled (beside the matrix) and a block of queries is scored."""
+    rng = np.random.default_rng(1)
+    texts = [rng.zipf(1.15, 725).clip(0, VOCABULARY - 1).astype(np.uint16) for _ in range(4096)]
+    idf = rng.random(VOCABULARY).astype(np.float32)
+    queries, ids = Queries([(i, x, 24_000) for i, x in enumerate(texts[:256])], idf > 0), 4096 * 725
+    i, j, query, terms = next(queries.blocks())
+
+    def most(call):
+        tracemalloc.reset_peak()
+        before, out = tracemalloc.get_traced_memory()[0], call()
+        return tracemalloc.get_traced_memory()[1] - before, out
+
+    tracemalloc.start()
+    try:
+        built, index = most(lambda: Shard(texts, idf, 700.0))
+        filled = most(index.matrix)[0] - index.dense.nbytes
+        scored, score = most(lambda: index.scores_of(j - i, query, terms))
+    finally:
+        tracemalloc.stop()
+    assert (score[::16] == [index.scores(x) for x in texts[i:j:16]]).all()
+    assert built < 14 * ids and filled < 2 * ids and scored < 12 << 20, (built, filled, scored)
+
+
+def test_hashes_of_long_texts_need_short_powers():
+    """Texts hashed together or cut between words have the same hashes; what a worker keeps for it doesn't grow with them."""
+    rng = np.random.default_rng(2)
+    said = [bytes(rng.integers(97, 123, rng.integers(1, 12)).astype(np.uint8)) for _ in range(300_000)]
+    said[1000] = b"x" * 1000
+    words._POWERS.clear()
+    got = words._scan(b" ".join(said))[0]
+    assert len(words._POWERS[0]) <= words.CHUNK_BYTES + 65536
+    some = [*range(0, 300_000, 997), 1000]
+    assert got[some].tolist() == [int(words._scan(said[k])[0][0]) for k in some]
+
+
+def test_a_search_keeps_no_encoder():
+    """A worker that searches has no tokenizer and no pieces of texts any more."""
+    tokens.encoder()
+    idf = np.ones(VOCABULARY, np.float32)
+    held = type("Held", (), {"value": (idf, 3.0, np.packbits(np.ones(2, bool)), Queries([(0, np.array([5, 6], np.uint16), 2)], idf > 0))})
+    batch = pa.record_batch([pa.array([0, 1]), pa.array([np.array(x, np.uint16).tobytes() for x in ([5, 6], [6, 7])])], names=["key", "tail"])
+    (out,) = _shown(16, held)(iter([batch]))
+    assert np.frombuffer(out.column("key")[0].as_py(), "<i8").tolist() == [1] and not tokens._encoders

@@ -50,3 +50,17 @@ def test_stages(spark):
 
 def test_run(spark):
     assert cp.run(spark, SF).count() > 100
+
+
+def test_stages_begin_with_a_small_heap(spark):
+    """Each stage has the executors' JVMs collect garbage first (here one JVM, the driver's)."""
+
+    def collected():
+        beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+        return sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(20)
+    for _, stage in cp.STAGES:
+        before = collected()
+        stage(spark, docs, SF)
+        assert collected() > before
