@@ -54,7 +54,7 @@ def messages(turns, topic) -> Column:
 def scenarios(specs: DataFrame, seed: int = 42, taxonomy: Taxonomy = TAXONOMY) -> DataFrame:
     """A conversation for each spec; ids depend on seed and sample_index alone."""
     i = F.col("sample_index")
-    named = F.concat(F.lit("scenario-"), F.lpad(i.cast("string"), 5, "0"), F.lit("-"), F.substring(seeded(seed, i), 1, 8))
+    named = F.concat(F.lit("scenario-"), F.format_string("%05d", i), F.lit("-"), F.substring(seeded(seed, i), 1, 8))
     n = turn_count(F.col("conversation_length"))
     return specs.select(
         "sample_index", named.alias("id"), F.col("category").alias("task_type"), *SPEC_FIELDS, choice(taxonomy.languages, F.floor(uniform(seed + 1, i) * len(taxonomy.languages))).alias("language"),
@@ -119,7 +119,7 @@ def clinical(spark: SparkSession, rows: int = 9000, seed: int = 2026) -> DataFra
     risk = risk + F.when(c("smoking") == "Current", 8.5).when(c("smoking") == "Former", 3.5).otherwise(0.0) + F.when(c("family") == "Yes", 9.0).otherwise(0.0) + gauss(0, 8.5)
     df = df.withColumn("risk", F.bround(clip(risk, 0, 100), 1))
     return df.select(
-        F.concat(F.lit(f"CKD{seed}_"), F.lpad(i.cast("string"), 5, "0")).alias("patient_id"), "age", "sex", "bmi", c("systolic").alias("systolic_bp"), c("diastolic").alias("diastolic_bp"), c("glucose").alias("fasting_blood_glucose_mg_dl"),
+        F.concat(F.lit(f"CKD{seed}_"), F.format_string("%05d", i)).alias("patient_id"), "age", "sex", "bmi", c("systolic").alias("systolic_bp"), c("diastolic").alias("diastolic_bp"), c("glucose").alias("fasting_blood_glucose_mg_dl"),
         c("hba1c").alias("hba1c_percent"), c("creatinine").alias("serum_creatinine_mg_dl"), c("bun").alias("bun_mg_dl"), c("egfr").alias("egfr_ml_min_1_73m2"), c("uacr").alias("urine_albumin_creatinine_ratio_mg_g"),
         c("potassium").alias("serum_potassium_mmol_l"), c("hemoglobin").alias("hemoglobin_g_dl"), c("cholesterol").alias("total_cholesterol_mg_dl"), c("ldl").alias("ldl_mg_dl"), c("hdl").alias("hdl_mg_dl"), c("trig").alias("triglycerides_mg_dl"),
         c("smoking").alias("smoking_status"), c("activity").alias("physical_activity_minutes_per_week"), "daily_steps", "sleep_hours", "stress_score", c("diet").alias("diet_quality_score"), c("family").alias("family_history_kidney_disease"),
