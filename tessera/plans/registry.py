@@ -464,8 +464,7 @@ def cosine_pairs(spark, d):
 
 
 def _greedy(spark, d) -> tuple[DataFrame, DataFrame]:
-    vectors = table(spark, d, "embeddings")
-    return dedup.greedy_matches(vectors.select("vec_id"), dedup.similar_pairs(vectors, SIMILAR))
+    return dedup.greedy(table(spark, d, "embeddings"), SIMILAR)
 
 
 @query(_GREEDY + " SELECT vec_id FROM k")
