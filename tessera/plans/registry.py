@@ -642,7 +642,7 @@ def prompt_texts(spark, d):
 def embedded_texts(spark, d):
     encoder = lambda: lambda texts: [(len(t), t.count("e")) for t in texts]
     rows = table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return dedup.embed(rows, encoder, "text").select("doc_id", F.col("embedding")[0].alias("n"), F.col("embedding")[1].alias("e"))
+    return dedup.embed(rows, encoder, "text", keep=["doc_id"]).select("doc_id", F.col("embedding")[0].alias("n"), F.col("embedding")[1].alias("e"))
 
 
 _OUTCOMES = {stub.API_ERROR: "api_error", stub.NO_JSON: "generation_error", stub.PERSONAL: "validation_failed", stub.COPY: "duplicate", stub.SHALLOW: "quality_failed", stub.UNEXPECTED: "unexpected_error"}
